@@ -7,7 +7,7 @@ children ask; all of that combines map-side, so a key that a third of all
 rows refer to costs one row per map task.  Groups without parent, or whose
 parents leave part of the span open, are *suspect*; only those meet the
 children again to list the orphan references.  That second join spreads
-each key over ``SALTS`` tasks (the suspects, one row per key, are repeated
+each key over ``2**SALT_BITS`` tasks (the suspects, one row per key, are repeated
 instead), and adaptive execution splits what is still too large.
 
 Defined results: null and blank references are no references; repeated
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+SALT_BITS = 4
 
 CHILD_COLUMNS = ["ref_table", "period", "child_key", "ref_key", "scope", "asked_at"]
 PARENT_COLUMNS = ["ref_table", "ref_key", "scope", "valid_from", "valid_to"]
@@ -68,8 +68,8 @@ def orphan_references(children: DataFrame, parents: DataFrame) -> DataFrame:
     """Distinct (ref_table, period, child_key, missing_key) of references without a parent."""
     children = children.select(*CHILD_COLUMNS).where("ref_key IS NOT NULL").distinct()
     suspects = suspect_groups(children, parents.where("ref_key IS NOT NULL"))
-    spread = suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = children.withColumn("salt", F.pmod(F.xxhash64("child_key", "period"), F.lit(SALTS)).cast("int"))
+    spread = suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit((1 << SALT_BITS) - 1))))
+    salted = children.withColumn("salt", F.shiftrightunsigned(F.xxhash64("child_key", "period"), 64 - SALT_BITS).cast("int"))
     c, s = salted.alias("c"), spread.alias("s")
     same = (
         (F.col("c.ref_table") == F.col("s.ref_table"))
