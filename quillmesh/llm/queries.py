@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.llm import packing, tokens
+from quillmesh.llm import entity_match, packing, tokens
 from quillmesh.sources.tables import table
 
 #: Capacity of a container in tokens.
 CONTAINER_TOKENS = 2048
 
 
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    return entity_match.match_register(table(spark, d, "norwegian_membership"), table(spark, d, "source_rows"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_matches(spark, d).select("journal_id", "source_id").distinct()
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
@@ -27,6 +35,6 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, d).withColumnRenamed("n_tokens", "size"), CONTAINER_TOKENS)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_ids, p8_containers, p8_fill)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p7_ids, p8_containers, p8_fill)}
 
 ORACLES: dict[str, str] = {}
