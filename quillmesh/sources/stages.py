@@ -33,3 +33,12 @@ def durable(df: DataFrame) -> DataFrame:
     """The same rows, read from a written copy."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least as many partitions as there are cores, for work that is dear per row.
+
+    Only a scan with fewer splits than cores is redistributed, so what moves is bounded by cores times the split size.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
