@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.llm import entity_match, packing, tokens
+from quillmesh.llm import entity_match, packing, subjects, tokens
 from quillmesh.sources.tables import table
 
 #: Capacity of a container in tokens.
@@ -35,6 +35,14 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, d).withColumnRenamed("n_tokens", "size"), CONTAINER_TOKENS)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p7_ids, p8_containers, p8_fill)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.assign_subjects(table(spark, d, "documents"), table(spark, d, "doc_labels"), table(spark, d, "subject_areas"))
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.corpus_by_subject(p9_found(spark, d), table(spark, d, "doc_labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p7_ids, p8_containers, p8_fill, p9_found, p9_composition)}
 
 ORACLES: dict[str, str] = {}

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh.sources.stages import spread
+
 #: Vocabulary file of the tokenizer; the folder is the same on all workers.
 BYTE_BPE_50K = "/opt/tokenizers/byte_bpe_50k.json"
 
@@ -154,7 +156,7 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     value = "size int" if sizes_only else "ids array<int>"
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = spread(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     is_long = F.length("text") > leaf_chars
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
