@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillmesh.llm import entity_match, packing, subjects, tokens
+from quillmesh.llm.oracles import ORACLES  # noqa: F401
+from quillmesh.llm import entity_match, packing, subjects, survivor, tokens
 from quillmesh.sources.tables import table
 
 #: Capacity of a container in tokens.
@@ -21,6 +23,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_matches(spark, d).select("journal_id", "source_id").distinct()
 
 
+def p5_survivors(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.survivors(table(spark, d, "reviewed_representative"), table(spark, d, "source_rows"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_survivors(spark, d).select("issn_l", "canonical_source_id", F.coalesce("publisher_source_id", F.lit("")).alias("publisher_source_id"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
@@ -43,6 +53,4 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.corpus_by_subject(p9_found(spark, d), table(spark, d, "doc_labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p7_ids, p8_containers, p8_fill, p9_found, p9_composition)}
-
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_survivors, p7_ids, p8_containers, p8_fill, p9_found, p9_composition)}
