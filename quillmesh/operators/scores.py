@@ -10,7 +10,7 @@ network share, and share over article share is the score per article
 Two ways to solve, with equal results:
 
 * every cell in one Arrow group (NumPy, no shuffle per step), for cells whose edges fit a worker;
-* a DataFrame loop for larger cells: one aggregation of the edges per step, checkpointed every few steps.
+* a DataFrame loop for larger cells: one aggregation of the edges per step, checkpointed every second step.
 """
 
 from __future__ import annotations
@@ -76,8 +76,11 @@ def solve_in_workers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return solved.withColumn("per_article", F.when(F.isnan("per_article"), F.lit(None).cast("double")).otherwise(F.col("per_article")))
 
 
-def solve_in_frames(nodes: DataFrame, edges: DataFrame, tolerance: float = STEP_TOLERANCE, every: int = 8) -> DataFrame:
-    """The same scores by a loop of aggregations; the only value that reaches the driver is the largest step of a cell."""
+def solve_in_frames(nodes: DataFrame, edges: DataFrame, tolerance: float = STEP_TOLERANCE, every: int = 2) -> DataFrame:
+    """The same scores by a loop of aggregations; the only value that reaches the driver is the largest step of a cell.
+
+    Each step reads the vector twice, so a plan of k unwritten steps has 2**k copies of it: write every second one.
+    """
     total = nodes.groupBy(*CELL).agg(F.sum("articles").alias("all_articles"), F.count("*").alias("n"))
     base = durable(nodes.join(total, CELL).select(*CELL, "issn_l", "articles", F.when(F.col("all_articles") > 0, F.col("articles") / F.col("all_articles")).otherwise(1 / F.col("n")).alias("a")))
     h = durable(column_normalised(edges, CELL).select(*CELL, "citing", "cited", "h").repartition(*CELL, "citing"))

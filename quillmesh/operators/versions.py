@@ -31,18 +31,19 @@ def patched(rows: DataFrame, key: str, ledger: DataFrame, columns: dict[str, str
     ``columns`` maps a column of ``rows`` to the ledger's column; both joins are equi-joins on the key, and the
     optimizer broadcasts a ledger only when its size is known to be small.
     """
-    changes = ledger.select(key, *[F.col(new).alias(f"__{old}") for old, new in columns.items()], F.lit(True).alias("patched"))
+    changes = ledger.select(key, *[F.col(new).alias(f"__new_{old}") for old, new in columns.items()], F.lit(True).alias("patched"))
     out = rows.join(changes, key, "left")
-    out = out.withColumns({old: F.coalesce(f"__{old}", old) for old in columns} | {"patched": F.coalesce("patched", F.lit(False))}).drop(*[f"__{old}" for old in columns])
+    out = out.withColumns({old: F.coalesce(f"__new_{old}", old) for old in columns} | {"patched": F.coalesce("patched", F.lit(False))}).drop(*[f"__new_{old}" for old in columns])
     return out if excluded is None else out.join(excluded.select(key), key, "left_anti")
 
 
 def preimage_audit(rows: DataFrame, key: str, ledger: DataFrame, expected: dict[str, str]) -> DataFrame:
     """One row: ledger entries, entries without a record, entries whose record is not as expected (nulls compare as values)."""
-    joined = ledger.alias("l").join(rows.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in expected]), F.col(f"l.{key}") == F.col("__key"), "left")
+    held = rows.select(F.col(key).alias("__held_id"), *[F.col(c).alias(f"__had_{c}") for c in expected])
+    joined = ledger.alias("l").join(held, F.col(f"l.{key}") == F.col("__held_id"), "left")
     differs = None
     for column, wanted in expected.items():
-        test = ~F.col(f"__{column}").eqNullSafe(F.col(wanted))
+        test = ~F.col(f"__had_{column}").eqNullSafe(F.col(f"l.{wanted}"))
         differs = test if differs is None else differs | test
-    absent = F.col("__key").isNull()
+    absent = F.col("__held_id").isNull()
     return joined.agg(F.count("*").alias("n_entries"), F.count_if(absent).alias("n_absent"), F.count_if(~absent & differs).alias("n_changed"))

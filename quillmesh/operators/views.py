@@ -81,7 +81,7 @@ def guarded_text(value: Column) -> Column:
 
 def export_lines(rows: DataFrame, texts: list[str], numbers: dict[str, int]) -> DataFrame:
     """(score_year, journal_id, line) of a CSV export: texts quoted and guarded, numbers rounded to their decimals, missing values empty."""
-    cells = [guarded_text(F.col(c)) for c in texts] + [F.coalesce(F.format_string(f"%.{n}f", F.round(F.col(c), n)), F.lit("")) for c, n in numbers.items()]
+    cells = [guarded_text(F.col(c)) for c in texts] + [F.when(F.col(c).isNotNull(), F.format_string(f"%.{n}f", F.round(F.col(c), n))).otherwise(F.lit("")) for c, n in numbers.items()]
     return rows.select("score_year", "journal_id", F.concat_ws(",", *cells).alias("line"))
 
 
