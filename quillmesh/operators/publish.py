@@ -18,6 +18,29 @@ def wide_scores(scores: DataFrame) -> DataFrame:
     return wide.select("score_year", "issn_l", *[F.col(f"{c}_{m}").alias(f"{m}_{c}") for m in ("share", "per_article") for c in cells])
 
 
+def annual_table(journal_years: DataFrame, scores: DataFrame, used: DataFrame, modal: DataFrame, register: DataFrame) -> DataFrame:
+    """The wide annual table: every journal with at least one defined score, its counts, scores, field, used citations and register ids.
+
+    Used citations are null outside a universe and 0 for members without any; scores keep null for undefined.
+    """
+    wide = wide_scores(scores)
+    some = None
+    for c in wide.columns[2:]:
+        some = F.col(c).isNotNull() if some is None else some | F.col(c).isNotNull()
+    per = used.groupBy("score_year", "issn_l").agg(*[F.max(F.when(F.col("universe") == u, F.col(f"used_{t}"))).alias(f"used_{u}_{t}") for u in ("n", "oa") for t in ("raw", "filtered")])
+    out = journal_years.join(wide.where(some).withColumnRenamed("issn_l", "journal_id"), YEAR_AND_ID)
+    out = out.join(per.withColumnRenamed("issn_l", "journal_id"), YEAR_AND_ID, "left")
+    out = out.join(modal.select(F.col("issn_l").alias("journal_id"), F.col("field").alias("modal_field"), "modal_works", "classified_works"), "journal_id", "left")
+    return out.join(register.select("score_year", F.col("issn_l").alias("journal_id"), "journal_ids", "level"), YEAR_AND_ID, "left")
+
+
+def index_document(rows: DataFrame, runs: dict[int, str], frozen: set[int], universes: list[str]) -> dict:
+    """What a reader needs to find the tables: a few counts for each year and how it was chosen."""
+    counted = {r.score_year: r.n for r in rows.groupBy("score_year").agg(F.count("*").alias("n")).collect()}
+    years = [{"year": y, "run": runs[y], "state": "frozen" if y in frozen else "live", "rows": counted.get(y, 0)} for y in sorted(runs, reverse=True)]
+    return {"years": years, "universes": universes, "fields": sorted(r.field for r in rows.where("field IS NOT NULL").select("field").distinct().collect())}
+
+
 def shard_of(journal_id: Column | str) -> Column:
     """History shard: the last two characters of the id."""
     return F.right(F.col(journal_id) if isinstance(journal_id, str) else journal_id, F.lit(2))

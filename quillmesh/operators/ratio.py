@@ -111,3 +111,22 @@ def reporting_population(existing: DataFrame, eligible: DataFrame, keys: list[st
     old = existing.select(*keys).distinct().withColumn("origin", F.lit("existing"))
     new = eligible.select(*keys).distinct().join(old.select(*keys), keys, "left_anti").withColumn("origin", F.lit("added"))
     return old.unionByName(new)
+
+
+#: From this citing year on retracted works leave the numerators.
+RETRACTION_FROM = 2024
+
+
+def annual_ratio(counts: DataFrame, policy: str, window: int) -> DataFrame:
+    """One row per year and journal under one policy: both scores by the year's retraction rule, differences and status.
+
+    A year is mature two years later; until then its count may still grow.
+    """
+    late = F.col("citation_year") >= RETRACTION_FROM
+    c = lambda n: F.when(late, F.col(f"c_{n}_without_retracted")).otherwise(F.col(f"c_{n}"))
+    raw, ref = F.try_divide(c("raw"), F.col("d_raw")), F.try_divide(c("ref"), F.col("d_ref"))
+    status = F.when(F.col("d_ref") > 0, "defined").when(F.col("d_raw") > 0, "ref_denominator_collapse").otherwise("no_raw_citable_items")
+    return counts.where(F.col("policy") == policy).select(
+        "citation_year", "journal_id", F.lit(window).alias("window_years"), c("raw").alias("citations_raw"), c("ref").alias("citations_ref"), "d_raw", "d_ref", raw.alias("score_raw"), ref.alias("score_ref"), (ref - raw).alias("score_difference"),
+        status.alias("status"), F.when(late, "without_retracted").otherwise("all").alias("retraction"), F.concat((F.col("citation_year") + 2).cast("string"), F.lit("-01-01")).alias("mature_on"),
+    )

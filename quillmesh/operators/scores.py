@@ -125,3 +125,15 @@ def score_audit(scores: DataFrame, edges: DataFrame) -> DataFrame:
     )
     weight = edges.groupBy(*CELL).agg(F.count("*").alias("n_edges"), F.sum("w").cast("long").alias("edge_weight"))
     return state.join(weight, CELL, "left")
+
+
+def closed_share(edges: DataFrame, inside: DataFrame, scores: DataFrame) -> DataFrame:
+    """Per cell: how much of the outgoing citation weight stays inside the state, weighted by the network share of the citing journal.
+
+    ``edges`` are all edges without self-citations in long form (cell, citing, w), ``inside`` those of the state.
+    """
+    full = edges.groupBy(*CELL, "citing").agg(F.sum("w").alias("full"))
+    kept = inside.groupBy(*CELL, "citing").agg(F.sum("w").alias("kept"))
+    mass = scores.select(*CELL, F.col("issn_l").alias("citing"), "share").join(full, [*CELL, "citing"]).join(kept, [*CELL, "citing"], "left")
+    ratio = F.coalesce("kept", F.lit(0.0)) / F.col("full")
+    return mass.groupBy(*CELL).agg((F.sum(F.col("share") * ratio) / F.sum("share")).alias("closed_share"), F.count("*").alias("n_citing"))

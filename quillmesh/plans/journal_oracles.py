@@ -301,6 +301,29 @@ ORACLES: dict[str, str] = {
     "annual_scores_wide": _q(
         "SELECT score_year, issn_l, " + ", ".join(f"round(max({m}) FILTER (universe = '{u}' AND treatment = '{t}'), 7) AS {m}_{u}_{t}" for m in ("share", "per_article") for u in ("n", "oa") for t in ("raw", "filtered")) + " FROM scored GROUP BY ALL", SOLVE
     ),
+    "annual_table": _q(
+        "SELECT j.score_year, j.journal_id, j.title, j.in_n, j.in_oa, j.works_raw, j.works_filtered, j.citations, j.active_years, w.* EXCLUDE (score_year, issn_l), u.* EXCLUDE (score_year, issn_l), m.field AS modal_field, m.modal_works, m.classified_works, r.journal_ids, r.level FROM jy j JOIN (SELECT score_year, issn_l, "
+        + ", ".join(f"round(max({m}) FILTER (universe = '{u}' AND treatment = '{t}'), 7) AS {m}_{u}_{t}" for m in ("share", "per_article") for u in ("n", "oa") for t in ("raw", "filtered"))
+        + """ FROM scored GROUP BY ALL) w ON w.score_year = j.score_year AND w.issn_l = j.journal_id LEFT JOIN (SELECT s.score_year, s.issn_l, """
+        + ", ".join(f"CAST(max(CASE WHEN s.universe = '{u}' THEN coalesce(e.{t}, 0) END) AS BIGINT) AS used_{u}_{t}" for u in ("n", "oa") for t in ("raw", "filtered"))
+        + """ FROM sta s LEFT JOIN (SELECT score_year, universe, cited, sum(n_raw) AS raw, sum(n_filtered) AS filtered FROM sedg GROUP BY ALL) e ON e.score_year = s.score_year AND e.universe = s.universe AND e.cited = s.issn_l GROUP BY ALL) u
+          ON u.score_year = j.score_year AND u.issn_l = j.journal_id LEFT JOIN modal m ON m.issn_l = j.journal_id LEFT JOIN (SELECT score_year, issn_l, string_agg(journal_id, ' | ' ORDER BY coalesce(TRY_CAST(journal_id AS BIGINT), 0), journal_id) AS journal_ids,
+          max(level) AS level FROM mat WHERE outcome = 'exact_issn' GROUP BY ALL) r ON r.score_year = j.score_year AND r.issn_l = j.journal_id""",
+        SOLVE,
+    ),
+    "closed_share": _q(
+        """SELECT s.score_year, s.universe, s.treatment, round(sum(share * coalesce(k.w, 0) / f.w) / sum(share), 7) AS closed_share, count(*) AS n_citing FROM scored s
+        JOIN (SELECT e.score_year, a.universe, t.t AS treatment, e.citing, sum(CASE t.t WHEN 'raw' THEN n_raw ELSE n_filtered END)::DOUBLE AS w FROM edg e JOIN sta a ON a.score_year = e.score_year AND a.issn_l = e.citing, (VALUES ('raw'), ('filtered')) t(t)
+          WHERE e.citing <> e.cited GROUP BY ALL HAVING w > 0) f ON f.score_year = s.score_year AND f.universe = s.universe AND f.treatment = s.treatment AND f.citing = s.issn_l
+        LEFT JOIN (SELECT score_year, universe, treatment, citing, sum(w) AS w FROM arcs GROUP BY ALL) k ON k.score_year = s.score_year AND k.universe = s.universe AND k.treatment = s.treatment AND k.citing = s.issn_l GROUP BY ALL""",
+        SOLVE,
+    ),
+    "ratio_annual": _q(
+        """SELECT citation_year, journal_id, 5 AS window_years, c AS citations_raw, f AS citations_ref, d_raw, d_ref, round(c::DOUBLE / nullif(d_raw, 0), 9) AS score_raw, round(f::DOUBLE / nullif(d_ref, 0), 9) AS score_ref,
+        round(f::DOUBLE / nullif(d_ref, 0) - c::DOUBLE / nullif(d_raw, 0), 9) AS score_difference, CASE WHEN d_ref > 0 THEN 'defined' WHEN d_raw > 0 THEN 'ref_denominator_collapse' ELSE 'no_raw_citable_items' END AS status,
+        CASE WHEN citation_year >= 2024 THEN 'without_retracted' ELSE 'all' END AS retraction, (citation_year + 2)::VARCHAR || '-01-01' AS mature_on
+        FROM (SELECT *, CASE WHEN citation_year >= 2024 THEN c_raw_without_retracted ELSE c_raw END AS c, CASE WHEN citation_year >= 2024 THEN c_ref_without_retracted ELSE c_ref END AS f FROM pol WHERE w = 5 AND policy = 'AR')"""
+    ),
     "ratio_components": _q(f"SELECT citation_year, journal_id, work_type, has_refs, {_COMPONENT_SUMS} FROM met WHERE cited_year BETWEEN citation_year - 5 AND citation_year - 1 GROUP BY ALL"),
     "ratio_items": _q("SELECT citation_year, journal_id, work_type, has_refs, is_retracted, works FROM items WHERE w = 5"),
     "ratio_policies_two_years": _q(f"SELECT {_POLICY_COLUMNS} FROM pol WHERE w = 2"),

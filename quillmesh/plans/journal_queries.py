@@ -262,10 +262,16 @@ def column_normalised(spark, d):
     return graph.column_normalised(e, scores.CELL).select(*scores.CELL, "citing", "cited", F.round("h", 9).alias("h"))
 
 
-def _cells(spark, d):
-    s = base.states(spark, d)
-    nodes, arcs = scores.cells(s, graph.state_edges(base.edges(spark, d), s), base.counts(spark, d))
-    return durable(nodes), durable(arcs)
+def _graph(spark, d):
+    """(states, edges, counts), written once: everything about scores reads them several times."""
+    c, e = durable(base.counts(spark, d)), durable(base.edges(spark, d))
+    return durable(graph.universe_states(c, e, base.universes(spark, d))), e, c
+
+
+def _cells(spark, d, parts=None):
+    s, e, c = parts or _graph(spark, d)
+    nodes, arcs = scores.cells(s, graph.state_edges(e, s), c)
+    return nodes, durable(arcs)
 
 
 def _scores(spark, d):
@@ -289,6 +295,25 @@ def annual_scores_wide(spark, d):
     return wide.select("score_year", "issn_l", *[F.round(c, 7).alias(c) for c in wide.columns[2:]])
 
 
+@query
+def annual_table(spark, d):
+    parts = _graph(spark, d)
+    jy = base.journal_years(spark, d).select("score_year", "journal_id", "title", "in_n", "in_oa", "works_raw", "works_filtered", "citations", "active_years")
+    solved = scores.network_scores(*_cells(spark, d, parts))
+    out = publish.annual_table(jy, solved, graph.used_citations(parts[1], parts[0]), fields.modal_field(_votes(spark, d), ["issn_l"]), register.grouped_members(base.matched_register(spark, d)))
+    return out.withColumns({c: F.round(c, 7) for c in out.columns if c.startswith(("share_", "per_article_"))})
+
+
+@query
+def closed_share(spark, d):
+    s, e, c = parts = _graph(spark, d)
+    nodes, inside = _cells(spark, d, parts)
+    every = e.where("citing <> cited").join(s.select("score_year", "universe", F.col("issn_l").alias("citing")), ["score_year", "citing"])
+    _, full = scores.cells(s, every, c)
+    out = scores.closed_share(full, inside, scores.network_scores(nodes, inside))
+    return out.withColumn("closed_share", F.round("closed_share", 7))
+
+
 # --- ratios ---------------------------------------------------------------------------------------------------
 
 CITATION_YEARS = [2023, 2024, 2025]
@@ -328,6 +353,12 @@ def ratio_grid(spark, d):
     return ratio.score_grid(_policy_counts(spark, d, 2)).withColumn("score", F.round("score", 9))
 
 
+@query
+def ratio_annual(spark, d):
+    out = ratio.annual_ratio(_policy_counts(spark, d, 5), "AR", 5)
+    return out.withColumns({c: F.round(c, 9) for c in ("score_raw", "score_ref", "score_difference")})
+
+
 def _aliases(spark, d) -> DataFrame:
     """Works that share a DOI stand for one: every later id is an alias of the smallest."""
     rows = base.works(spark, d).where("doi IS NOT NULL").select(F.lower("doi").alias("doi"), "work_id")

@@ -41,6 +41,21 @@ def manifest_files(manifest: str | os.PathLike, root: str | os.PathLike) -> list
     return out
 
 
+def bound_read(spark: SparkSession, files: Sequence[str], rows: int | None = None, schema=None) -> DataFrame:
+    """Rows of listed local files, written to a durable copy; a file that changes meanwhile, or another row total, is an error."""
+    from quillmesh.sources.stages import durable
+
+    stamp = lambda: [(os.stat(f).st_size, os.stat(f).st_mtime_ns) for f in files]
+    before = stamp()
+    copy = durable(read_listed(spark, files, schema))
+    n = copy.count()
+    if stamp() != before:
+        raise RuntimeError("an input file changed while it was read")
+    if rows is not None and n != rows:
+        raise ValueError(f"{n} rows, the manifest says {rows}")
+    return copy
+
+
 def write_manifest(files: Iterable[str | os.PathLike], root: str | os.PathLike, manifest: str | os.PathLike) -> None:
     """Manifest of files under a root."""
     entries = [{"path": str(Path(f).resolve().relative_to(Path(root).resolve())), "bytes": Path(f).stat().st_size} for f in sorted(map(str, files))]

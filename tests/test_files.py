@@ -130,3 +130,11 @@ def test_streams(spark, tmp_path):
     q = totals.writeStream.outputMode("append").format("memory").queryName("totals").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert ("A", 5, 4) in {(r.cited, r.total_n, r.n_rows) for r in spark.table("totals").collect()}
+
+
+def test_bound_read_refuses_a_wrong_total(spark, tmp_path):
+    spark.range(6).coalesce(1).write.parquet(str(tmp_path / "x"))
+    parts = [str(p) for p in (tmp_path / "x").glob("*.parquet")]
+    assert files.bound_read(spark, parts, 6).count() == 6
+    with pytest.raises(ValueError, match="manifest"):
+        files.bound_read(spark, parts, 7)

@@ -349,3 +349,26 @@ def test_wide_scores(spark):
     s = spark.createDataFrame([(1, "n", "raw", "A", 60.0, 2.0), (1, "oa", "filtered", "A", 40.0, None)], "score_year int, universe string, treatment string, issn_l string, share double, per_article double")
     r = publish.wide_scores(s).first()
     assert (r.share_n_raw, r.per_article_n_raw, r.share_oa_filtered, r.per_article_oa_filtered, r.share_n_filtered) == (60.0, 2.0, 40.0, None, None)
+
+
+def test_metric_columns_have_no_stand_ins(spark):
+    df = spark.createDataFrame([(True, None, 1.0, 2.0, 3.0, 7, 9, 11)], "in_n boolean, in_oa boolean, ratio2_filtered double, ratio5_filtered double, per_item_n_filtered double, used_n_filtered long, citations long, works_filtered long")
+    get = lambda c: df.select(c.alias("x")).first().x
+    s = ranks.Selection(treatment="filtered")
+    assert get(ranks.score_column(s, "ratio2")) == 1.0 and get(ranks.score_column(s, "ratio5")) == 2.0 and get(ranks.score_column(s, "per_item")) == 3.0
+    assert get(ranks.score_column(s, "ratio2", "oa")) is None
+    assert get(ranks.used_count_column(s, "citations")) == 7 and get(ranks.used_count_column(s, "publications")) == 11
+    assert get(ranks.used_count_column(ranks.Selection(universe="n", treatment="filtered"), "citations")) != 9
+
+
+def test_index_document(spark):
+    df = spark.createDataFrame([(2024, "Law"), (2024, None), (2025, "Art")], "score_year int, field string")
+    doc = publish.index_document(df, {2024: "old", 2025: "new", 2026: "new"}, {2024}, ["n", "oa"])
+    assert doc["years"][0] == {"year": 2026, "run": "new", "state": "live", "rows": 0} and doc["years"][2]["state"] == "frozen" and doc["fields"] == ["Art", "Law"]
+
+
+def test_closed_share(spark):
+    every = spark.createDataFrame([(1, "n", "raw", "A", "B", 3.0), (1, "n", "raw", "A", "out", 1.0), (1, "n", "raw", "B", "A", 2.0)], "score_year int, universe string, treatment string, citing string, cited string, w double")
+    s = spark.createDataFrame([(1, "n", "raw", "A", 50.0), (1, "n", "raw", "B", 50.0)], "score_year int, universe string, treatment string, issn_l string, share double")
+    r = scores.closed_share(every, every.where("cited <> 'out'"), s).first()
+    assert (r.closed_share, r.n_citing) == (0.875, 2)
