@@ -94,6 +94,9 @@ def best_combination(bundles: Mapping[str, Sequence[Candidate]], dependencies: S
     return best
 
 
+#: Most determinant values of a dependency that may travel to every task.
+MOST_FACTS = 100_000
+
 #: Trust of a bundle of the representative itself; others get up to 1 by recency.
 OWN_TRUST = 2.0
 
@@ -196,9 +199,12 @@ def survivors(reviewed: DataFrame, sources: DataFrame) -> DataFrame:
     )
     groups = best.groupBy("group").agg(F.collect_list("c").alias("candidates"))
 
-    # The dependency field -> domain as the whole table has it: a few fields, so the mapping is small by nature.
+    # The dependency field -> domain as the whole table has it; it travels to every task, so its size is checked.
     pairs = sources.where(usable(F.col("oa_field")) & usable(F.col("oa_domain"))).groupBy("oa_field", "oa_domain").agg(F.count("*").alias("n"))
-    facts = {r.oa_field: r.oa_domain for r in pairs.groupBy("oa_field").agg(F.max_by("oa_domain", F.struct("n", "oa_domain")).alias("oa_domain")).collect()}
+    known = pairs.groupBy("oa_field").agg(F.max_by("oa_domain", F.struct("n", "oa_domain")).alias("oa_domain")).limit(MOST_FACTS + 1).collect()
+    if len(known) > MOST_FACTS:
+        raise ValueError(f"more than {MOST_FACTS} fields: the dependency is too large to travel to every task")
+    facts = {r.oa_field: r.oa_domain for r in known}
     resolved = resolve_groups(groups, BUNDLES, [("oa_field", "oa_domain", facts)])
 
     wide = resolved.groupBy("group").agg(
