@@ -92,12 +92,8 @@ def universe_states(counts: DataFrame, edges: DataFrame, members: DataFrame) ->
 
     The state is fixed by the raw counts for both treatments.
     """
-    active = (
-        counts.where("a_raw > 0").select("score_year", "issn_l")
-        .unionByName(edges.where("n_raw > 0").select("score_year", F.col("citing").alias("issn_l")))
-        .unionByName(edges.where("n_raw > 0").select("score_year", F.col("cited").alias("issn_l")))
-        .distinct()
-    )
+    ends = edges.where("n_raw > 0").select("score_year", F.explode(F.array("citing", "cited")).alias("issn_l"))
+    active = counts.where("a_raw > 0").select("score_year", "issn_l").unionByName(ends).distinct()
     return members.select("score_year", "universe", "issn_l").distinct().join(active, ["score_year", "issn_l"], "left_semi").select("score_year", "universe", "issn_l")
 
 

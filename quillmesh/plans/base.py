@@ -46,7 +46,8 @@ def counts(spark: SparkSession, d: str) -> DataFrame:
 def edges(spark: SparkSession, d: str) -> DataFrame:
     """(score_year, citing, cited, n_raw, n_filtered): partial counts summed, rows delivered twice counted once."""
     rows = table(spark, d, "effective_edges").select("score_year", "chunk_no", issn_text("citing_issn_l").alias("citing"), issn_text("cited_issn_l").alias("cited"), "n_raw", "n_filtered", "extracted_at")
-    once = rows.where("citing IS NOT NULL AND cited IS NOT NULL").distinct()
+    # Partitioned by the pair, the rows of a pair meet once for dropping repeats and for the sums.
+    once = rows.where("citing IS NOT NULL AND cited IS NOT NULL").repartition("score_year", "citing", "cited").distinct()
     return once.groupBy("score_year", "citing", "cited").agg(F.sum("n_raw").alias("n_raw"), F.coalesce(F.sum("n_filtered"), F.lit(0)).alias("n_filtered"))
 
 

@@ -243,7 +243,8 @@ def universe_states(spark, d):
 
 @query
 def used_citations(spark, d):
-    return graph.used_citations(base.edges(spark, d), base.states(spark, d))
+    states, edges, _ = _graph(spark, d)
+    return graph.used_citations(edges, states)
 
 
 @query
