@@ -50,8 +50,9 @@ def snapshot_changes(states: DataFrame) -> DataFrame:
         states.join(pairs.where("next IS NOT NULL").select("snapshot", "next"), "snapshot")
         .select(F.col("next").alias("snapshot"), "key", F.col("row_hash").alias("old_hash"))
     )
+    # The same kind of join on both sides: a semi-join would move below the states and keep them from being shared.
     after = (
-        states.join(pairs.where("previous IS NOT NULL").select("snapshot"), "snapshot", "left_semi")
+        states.join(pairs.where("previous IS NOT NULL").select("snapshot", "previous"), "snapshot")
         .select("snapshot", "key", F.col("row_hash").alias("new_hash"))
     )
     change = (
