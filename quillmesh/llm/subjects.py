@@ -33,6 +33,7 @@ document give each subject once.
 from __future__ import annotations
 
 import html
+import math
 import re
 import sys
 import unicodedata
@@ -74,8 +75,9 @@ def sentences(text: str) -> list[list[str]]:
     """Sentences as lists of bare lower-case words; numbers become ``9``."""
     text = html.unescape(_TAG.sub(" \n\n ", _INVISIBLE.sub("", text)))
     text = re.sub(r"(\w)-\s*\n\s*(\w)", r"\1\2", text)
-    text = unicodedata.normalize("NFKD", text.translate(_PLAIN))
-    text = "".join(c for c in text if not unicodedata.combining(c))
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text.translate(_PLAIN))
+        text = "".join(c for c in text if not unicodedata.combining(c))
     out = []
     for part in _BREAK.split(text):
         words = ["9" if w[0].isdigit() else sys.intern(w) for w in _WORD.findall(part.lower())]
@@ -102,21 +104,32 @@ class Evidence:
     n_words: int
 
 
-def find_terms(doc: list[list[str]], terms: dict[str, tuple[int, float]]) -> Evidence:
-    """Longest terms win where they overlap; what is left of a sentence is its context."""
+def first_words(terms: dict[str, tuple[int, float]]) -> set[str]:
+    """First words of the terms of several words."""
+    return {t.split(" ", 1)[0] for t in terms if " " in t}
+
+
+def find_terms(doc: list[list[str]], terms: dict[str, tuple[int, float]], heads: set[str]) -> Evidence:
+    """Longest terms win where they overlap; what is left of a sentence is its context.  ``heads``: the terms' :func:`first_words`."""
     mentions, contexts = [], {}
     for k, words in enumerate(doc):
-        taken = [False] * len(words)
-        found = False
-        hits = [(e - s, terms[g][1], s, e, g) for s, e, g in grams(words) if g in terms]
+        hits = []
+        for i, w in enumerate(words):
+            if w in terms:
+                hits.append((1, terms[w][1], i, i + 1, w))
+            if w in heads:
+                for n in range(2, min(MAX_WORDS, len(words) - i) + 1):
+                    g = " ".join(words[i : i + n])
+                    if g in terms:
+                        hits.append((n, terms[g][1], i, i + n, g))
+        if not hits:
+            continue
+        rest = list(words)
         for _, strength, s, e, g in sorted(hits, key=lambda h: (-h[1] - 0.02 * h[0], h[2])):
-            if not any(taken[s:e]):
-                taken[s:e] = [True] * (e - s)
+            if "_" not in rest[s:e]:
+                rest[s:e] = ["_"] * (e - s)
                 mentions.append((k, terms[g][0], strength, g))
-                found = True
-        if found:
-            rest = ["_" if t else w for w, t in zip(words, taken, strict=True)]
-            contexts[k] = {g for _, _, g in grams(rest, 2) if g != "_"}
+        contexts[k] = {g for _, _, g in grams(rest, 2) if g != "_"}
     return Evidence(mentions, contexts, len(doc), sum(map(len, doc)))
 
 
@@ -224,28 +237,41 @@ class SubjectModel:
         return _structure(self.kinds, self.languages, self.feeds, e, kind, language, feed)
 
     def inputs(self, text: str | None, kind: str | None, language: str | None, feed: str | None) -> np.ndarray:
-        e = find_terms(sentences(text or ""), self.terms)
+        e = find_terms(sentences(text or ""), self.terms, self._firsts)
         return np.concatenate([features(e, self.odds, len(self.subjects)), self.structure(e, kind, language, feed)])
 
     def decode(self, x: np.ndarray) -> list[str]:
         """Subjects of the most probable label combination."""
         chosen = self.best_combination(x)
-        treated = {s for s in range(len(self.subjects)) if x[s * FEATURES]}
-        return [self.subjects[s] for s in self.order if s in chosen & treated]
+        return [self.subjects[s] for s in self.order if s in chosen]
 
     def best_combination(self, x: np.ndarray) -> set[int]:
+        """Beam search over the chain; a subject that no sentence treats can only be absent."""
+        if not x[: len(self.order) * FEATURES : FEATURES].any():
+            return set()
+        base = self._heads @ x + self._shifts
         beam: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        n = len(self.order)
-        base = [float(w[: len(x)] @ x + w[-1]) for w in self.weights]
-        for step in range(n):
-            w, (slope, shift) = self.weights[step], self.scales[step]
+        for step, s in enumerate(self.order):
+            (slope, shift), links = self.scales[step], self._links[step]
             longer = []
             for score, taken in beam:
-                z = slope * (base[step] + sum(w[len(x) + k] for k, t in enumerate(taken) if t)) + shift
-                longer.append((score - np.logaddexp(0, -z), (*taken, 1)))
-                longer.append((score - np.logaddexp(0, z), (*taken, 0)))
+                z = slope * (base[step] + sum(links[k] for k in taken)) + shift
+                if x[s * FEATURES]:
+                    longer.append((score - _log1pexp(-z), (*taken, step)))
+                longer.append((score - _log1pexp(z), taken))
             beam = sorted(longer, reverse=True)[:BEAM]
-        return {self.order[k] for k, t in enumerate(beam[0][1]) if t}
+        return {self.order[k] for k in beam[0][1]}
+
+    def __post_init__(self):
+        n = len(self.weights[0]) - 1 if self.weights else 0
+        self._heads = np.stack([w[:n] for w in self.weights]) if self.weights else np.zeros((0, n))
+        self._firsts = first_words(self.terms)
+        self._shifts = np.array([w[-1] for w in self.weights])
+        self._links = [w[n:-1].tolist() for w in self.weights]
+
+
+def _log1pexp(z: float) -> float:
+    return z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))
 
 
 def _structure(kinds: list[str], languages: list[str], feeds: list[str], e: Evidence, kind: str | None, language: str | None, feed: str | None) -> np.ndarray:
@@ -282,8 +308,9 @@ def fit(rows: list[tuple[str | None, str | None, str | None, str | None, set[str
     borne: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(2)) for _ in range(FOLDS)]
     for f in range(FOLDS):
         terms = counts.terms(without=f)
+        heads = first_words(terms)
         for i in range(f, len(rows), FOLDS):
-            e = evidence[i] = find_terms(docs[i], terms)
+            e = evidence[i] = find_terms(docs[i], terms, heads)
             for k, s in {(k, s) for k, s, *_ in e.mentions}:
                 for c in {"", *e.contexts[k]}:
                     borne[f][c][0 if s in labels[i] else 1] += 1

@@ -60,7 +60,8 @@ def test_beam_finds_the_best_combination():
                 score -= np.logaddexp(0, -z if combo[step] else z)
             return score
 
-        best = max(itertools.product([0, 1], repeat=3), key=joint)
+        treated = [x[s * subjects.FEATURES] > 0 for s in model.order]
+        best = max((c for c in itertools.product([0, 1], repeat=3) if all(t or not v for v, t in zip(c, treated, strict=True))), key=joint)
         assert model.best_combination(x) == {model.order[k] for k, t in enumerate(best) if t}
 
 
