@@ -81,11 +81,15 @@ def title_key(title: Column | str) -> Column:
     return F.lower(F.regexp_replace(F.col(title) if isinstance(title, str) else title, r"[^\p{L}\p{N}]", ""))
 
 
-def primary_by_title(candidates: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The register id whose title is the journal's, where exactly one is; ``candidates`` (issn_l, journal_id, title), ``wanted`` (issn_l, title)."""
-    a = candidates.select("issn_l", "journal_id", title_key("title").alias("t")).where("t <> ''").distinct()
+def primary_by_title(candidates: DataFrame, wanted: DataFrame, years: bool = False) -> DataFrame:
+    """The register id whose title is the journal's, where exactly one is; ``candidates`` (issn_l, journal_id, title), ``wanted`` (issn_l, title).
+
+    An id may come with several titles, one row each.  With ``years``, candidates also have score_year, and every year is decided by itself.
+    """
+    by = ["score_year", "issn_l"] if years else ["issn_l"]
+    a = candidates.select(*by, "journal_id", title_key("title").alias("t")).where("t <> ''").distinct()
     b = wanted.select("issn_l", title_key("title").alias("t")).where("t <> ''").distinct()
-    return a.join(b, ["issn_l", "t"]).groupBy("issn_l").agg(F.count_distinct("journal_id").alias("n"), F.min("journal_id").alias("journal_id")).where("n = 1").select("issn_l", "journal_id")
+    return a.join(b, ["issn_l", "t"]).groupBy(*by).agg(F.count_distinct("journal_id").alias("n"), F.min("journal_id").alias("journal_id")).where("n = 1").select(*by, "journal_id")
 
 
 def aliases_of_sources(sources: DataFrame) -> DataFrame:

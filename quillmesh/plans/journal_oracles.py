@@ -278,6 +278,14 @@ ORACLES: dict[str, str] = {
           WHERE m.score_year = 2025 AND m.issn_l IS NOT NULL) c JOIN (SELECT DISTINCT effective_key, lower(regexp_replace(title, '[^\p{L}\p{N}]', '', 'g')) AS t FROM src WHERE effective_key IS NOT NULL) s ON s.effective_key = c.issn_l AND s.t = c.t
         WHERE c.t <> '' GROUP BY issn_l HAVING count(DISTINCT journal_id) = 1"""
     ),
+    "register_primary_titles": _q(
+        r"""SELECT p.score_year, p.issn_l, p.journal_id, n.n_journals FROM (
+          SELECT c.score_year, c.issn_l, min(c.journal_id) AS journal_id FROM (SELECT m.score_year, m.issn_l, m.journal_id, lower(regexp_replace(unnest([n.original_title, n.international_title]), '[^\p{L}\p{N}]', '', 'g')) AS t
+            FROM mat m JOIN norwegian_membership n ON trim(n.journal_id) = m.journal_id AND n.score_year = m.score_year WHERE m.issn_l IS NOT NULL) c
+          JOIN (SELECT DISTINCT effective_key, lower(regexp_replace(title, '[^\p{L}\p{N}]', '', 'g')) AS t FROM src WHERE effective_key IS NOT NULL) s ON s.effective_key = c.issn_l AND s.t = c.t
+          WHERE c.t <> '' GROUP BY c.score_year, c.issn_l HAVING count(DISTINCT c.journal_id) = 1) p
+        JOIN (SELECT score_year, issn_l, count(*) AS n_journals FROM mat WHERE issn_l IS NOT NULL GROUP BY ALL) n ON n.score_year = p.score_year AND n.issn_l = p.issn_l"""
+    ),
     "register_urls": _q("SELECT score_year, issn_l, string_agg(journal_id, ', ' ORDER BY coalesce(TRY_CAST(journal_id AS BIGINT), 0), journal_id) AS ids FROM mat WHERE outcome = 'exact_issn' AND regexp_full_match(journal_id, '[0-9]+') GROUP BY ALL"),
     "register_levels": _q(f"SELECT {blank('journal_id')} AS journal_id, string_agg(DISTINCT norwegian_level::VARCHAR, ', ' ORDER BY norwegian_level::VARCHAR) FILTER (norwegian_level IN (1, 2)) AS level FROM norwegian_membership GROUP BY 1"),
     "journal_edges": _q("SELECT * FROM edg"),

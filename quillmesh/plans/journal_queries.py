@@ -205,12 +205,23 @@ def register_entries(spark, d):
 
 @query
 def register_primary_title(spark, d):
+    """The slice of :func:`register_primary_titles` that its SQL twin fixes: score year 2025, international titles."""
     m = base.matched_register(spark, d).where("score_year = 2025 AND issn_l IS NOT NULL").select("journal_id", "issn_l")
     titles = table(spark, d, "norwegian_membership").where("score_year = 2025").select(blank_to_null("journal_id").alias("journal_id"), F.col("international_title").alias("title"))
     wanted = base.newest_sources(spark, d).where("effective_key IS NOT NULL").select(F.col("effective_key").alias("issn_l"), "title")
     return register.primary_by_title(m.join(titles, "journal_id"), wanted)
 
 
+@query
+def register_primary_titles(spark, d):
+    """Of every score year, by the original or the international title; ``n_journals`` tells a choice among several entries from an only one."""
+    m = base.matched_register(spark, d).where("issn_l IS NOT NULL").select("score_year", "journal_id", "issn_l")
+    titles = table(spark, d, "norwegian_membership").select("score_year", blank_to_null("journal_id").alias("journal_id"), F.explode(F.array("original_title", "international_title")).alias("title"))
+    wanted = base.newest_sources(spark, d).where("effective_key IS NOT NULL").select(F.col("effective_key").alias("issn_l"), "title")
+    primary = register.primary_by_title(m.join(titles, ["score_year", "journal_id"]), wanted, years=True)
+    return primary.join(m.groupBy("score_year", "issn_l").agg(F.count("*").alias("n_journals")), ["score_year", "issn_l"])
+
+
 @query
 def register_urls(spark, d):
     urls = register.grouped_members(base.matched_register(spark, d)).select("score_year", "issn_l", F.array_join(F.transform(F.split("journal_ids", r" \| "), lambda x: register.entry_url(x)), "; ").alias("urls"))

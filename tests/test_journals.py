@@ -123,6 +123,25 @@ def test_matching_by_issn(spark, rows):
     assert rows(register.grouped_members(more)) == [(1, "K1", "9 | 10", 2, 1)]
 
 
+def test_primary_title_of_every_year_by_either_title(spark, rows, tmp_path):
+    from quillmesh import plans
+
+    register_rows = [
+        (2023, "1", 1, "0378-5955", None, "Tidsskrift X", "Journal X", None),
+        (2023, "2", 1, None, "03785955", "Other", "Another", None),
+        (2024, "1", 1, "0378-5955", None, None, "Journal X", None),
+        (2024, "2", 1, "0378-5955", None, "tidsskrift x", "JOURNAL-X", None),
+        (2025, "2", 1, "0378-5955", None, "TIDSSKRIFT (X)", None, None),
+        (2025, "3", 1, "2049-3630", None, "Tidsskrift X", "", None),
+    ]
+    spark.createDataFrame(register_rows, "score_year int, journal_id string, norwegian_level int, print_issn string, online_issn string, original_title string, international_title string, ceased_year int").write.parquet(f"{tmp_path}/norwegian_membership.parquet")
+    sources = spark.read.parquet("/root/testdata/sf0.001/source_rows.parquet").limit(1)
+    for name, value in {"source_id": "S1", "raw_issn_l": "0378-5955", "title": "Tidsskrift X", "snapshot_date": "2025-10-15"}.items():
+        sources = sources.withColumn(name, F.lit(value))
+    sources.withColumn("issns", F.array(F.lit("0378-5955"))).write.parquet(f"{tmp_path}/source_rows.parquet")
+    assert rows(plans.QUERIES["register_primary_titles"](spark, str(tmp_path)), "score_year", "issn_l", "journal_id", "n_journals") == [(2023, "0378-5955", "1", 2), (2024, "0378-5955", "2", 2), (2025, "0378-5955", "2", 1)]
+
+
 def test_urls_levels_titles_and_unpivot(spark, rows):
     df = spark.createDataFrame([("https://register.example/entry?id=7; http://register.example/entry?x=1&id=8;https://evil.example/entry?id=9;https://register.example/entry?id=x; https://register.example/entry?id=7", "1 | 2 | 1"), (None, "3")], "u string, l string")
     assert [(r[0], r[1]) for r in df.select(register.ids_of_urls(F.col("u")), register.level_text(F.col("l"))).collect()] == [(["7", "8"], "1, 2"), ([], None)]
