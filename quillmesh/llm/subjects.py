@@ -61,6 +61,8 @@ FEED_SHARE = 0.02
 
 #: A sequence is a term if its shrunk share of a subject reaches LEAST_SHARE; SHRINK documents of the overall share are mixed in.
 SHRINK, LEAST_SHARE = 2.0, 0.55
+#: Fewest labelled documents with a sequence for it to be a term, whatever the size of the sample.
+LEAST_DOCS = 2
 #: Log odds of the context below which a sentence only names the subject.
 NAMED_ONLY = -1.5
 
@@ -162,7 +164,7 @@ class TermCounts:
         for f in folds:
             for g, row in self.by_fold[f].items():
                 sums[g] = sums[g] + row if g in sums else row
-        names = [g for g, row in sums.items() if row[-1] >= 2]
+        names = [g for g, row in sums.items() if row[-1] >= LEAST_DOCS]
         if not names:
             return {}
         table = np.stack([sums[g] for g in names])
@@ -296,8 +298,7 @@ def fit(rows: list[tuple[str | None, str | None, str | None, str | None, set[str
     seen: Counter[str] = Counter()
     for d in docs:
         seen.update({g for words in d for _, _, g in grams(words)})
-    rare = 2 if len(rows) < 2000 else 3
-    keep = {g for g, n in seen.items() if n >= rare}
+    keep = {g for g, n in seen.items() if n >= LEAST_DOCS}
     counts = TermCounts(len(subjects))
     for d, fold, own in zip(docs, folds, labels, strict=True):
         counts.add(fold, d, own, keep)

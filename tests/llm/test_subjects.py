@@ -48,6 +48,12 @@ def test_held_out_accuracy_and_passing_mentions():
         assert model.decode(model.inputs(empty, None, None, None)) == []
 
 
+def test_a_sequence_of_two_documents_is_a_term_at_every_size():
+    rows = [("Zyzzyva.", None, "en", "feed", {"law"})] * 2 + [(f"{TERMS[s][i % 3]}.", None, "en", "feed", {s}) for i, s in ((i, sorted(TERMS)[i % 3]) for i in range(1998))]
+    for n in (1999, 2000):
+        assert subjects.fit(rows[:n], sorted(TERMS)).terms["zyzzyva"][0] == sorted(TERMS).index("law")
+
+
 def test_beam_finds_the_best_combination():
     model = subjects.fit(corpus(3, 120), sorted(TERMS))
     for r in corpus(4, 25):
