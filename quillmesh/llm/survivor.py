@@ -17,14 +17,16 @@ representative's own), which is all that branch and bound can tell apart.
 
 Defined results: missing values and placeholders are no candidates; a bundle
 without candidates, or whose candidates all break a dependency, stays null;
-repeated rows count once; ties go to the smaller id; groups without a
-member present give no row; empty tables give no rows.
+repeated rows count once; a record without a time is the oldest; ties go to
+the smaller id; groups without a member present give no row; empty tables
+give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -113,7 +115,7 @@ def resolve_groups(groups: DataFrame, bundles: Sequence[str], dependencies: Sequ
             for key, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 per: dict[str, list[Candidate]] = {name: [] for name in bundles}
                 rows.sort(key=lambda r: (len(r["source_id"]), r["source_id"]))
-                rows.sort(key=lambda r: r["updated"], reverse=True)
+                rows.sort(key=lambda r: (r["updated"] is not None, r["updated"] or datetime.min), reverse=True)
                 for r in rows:
                     trust = OWN_TRUST if r["own"] else 1 / (1 + sum(not c.trust == OWN_TRUST for c in per[r["bundle"]]))
                     per[r["bundle"]].append(Candidate(r["source_id"], trust, dict(r["seen"]), r["values"]))

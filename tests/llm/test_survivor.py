@@ -86,6 +86,23 @@ def test_many_copies_in_one_component(spark):
     assert (r.canonical_source_id, r.publisher_source_id) == ("S2", "S2")
 
 
+def test_records_without_a_time_are_the_oldest(spark, tmp_path):
+    def undated(*a, **k):
+        s = list(source(*a, **k))
+        s[9] = None
+        return tuple(s)
+
+    r = survivors(spark, [review(["S1", "S2", "S3"])], [undated("S1", publisher="?"), undated("S2", publisher="A", kind=None), source("S3", publisher="B", kind=None)])["0378-5955"]
+    assert (r.canonical_source_id, r.publisher_source_id, r.publisher) == ("S1", "S3", "B")
+    r = survivors(spark, [review(["S3", "S2"])], [undated("S3", publisher="A"), undated("S2", publisher="B")])["0378-5955"]
+    assert (r.canonical_source_id, r.publisher_source_id) == ("S2", "S2")
+    reviewed = [review(["S1", "S2", "S3"]), review(["S4", "S5"], key="2049-3630")]
+    sources = [undated("S1", publisher="?"), undated("S2", kind=None), source("S3", kind=None), undated("S4"), undated("S5")]
+    spark.createDataFrame(reviewed, REVIEWED).write.parquet(f"{tmp_path}/reviewed_representative.parquet")
+    spark.createDataFrame(sources, SOURCES).write.parquet(f"{tmp_path}/source_rows.parquet")
+    assert {tuple(r) for r in queries.p5_found(spark, str(tmp_path)).collect()} == {("0378-5955", "S1", "S3"), ("2049-3630", "S4", "S4")}
+
+
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
 def test_query_equals_its_sql(spark, folder):
     compare(spark, f"/root/testdata/{folder}", queries.p5_found, queries.ORACLES["p5_found"])
