@@ -89,6 +89,16 @@ def test_orphans_by_brute_force(spark, rows):
         assert report[key] == (len(own), len({w[3] for w in own}), len({w[2] for w in own}))
 
 
+def test_any_number_of_intervals_of_one_key(spark, rows):
+    day = lambda n: datetime(2000, 1, 1) + timedelta(days=n)
+    parents = [("t", "k", None, day(4 * i), day(4 * i + 2)) for i in range(1000)] + [("t", "k", None, day(5000), None), ("t", "k", None, None, day(9000))]
+    children = [("t", 1, f"c{n}", "k", None, day(n)) for n in range(0, 5010)] + [("t", 1, "untimed", "k", None, None)]
+    found = orphan_rows(spark, children, parents)
+    expected = [("t", 1, f"c{n}", "k") for n in range(5000) if n >= 4000 or n % 4 > 1] + [("t", 1, "untimed", "k")]
+    assert rows(found) == sorted(expected, key=repr)
+    assert "collect_set" not in found._jdf.queryExecution().toString()
+
+
 def test_orphans_of_empty_tables(spark, rows):
     assert rows(orphan_rows(spark, [], [])) == []
     assert rows(orphan_rows(spark, [("t", None, "c", "k", None, None)], [])) == [("t", None, "c", "k")]
