@@ -18,7 +18,8 @@ The model is fitted on a bounded sample of labelled documents (see
    so the probabilities are calibrated for unseen documents; Platt scaling on
    held-out scores corrects what is left.
 4. *Decoding.*  Beam search over the chain finds the label combination of
-   highest joint probability; co-occurrence enters through the chained inputs.
+   highest joint probability among those of subjects that some sentence
+   treats; co-occurrence enters through the chained inputs.
 
 The model (terms, contexts, weights) comes from a bounded sample and is
 therefore bounded itself; it travels to the workers in the function's closure and
