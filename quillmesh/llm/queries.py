@@ -23,6 +23,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_matches(spark, d).select("journal_id", "source_id").distinct()
 
 
+def p1_review(spark: SparkSession, d: str) -> DataFrame:
+    """Journals for which the strongest rule that says anything leaves several candidates."""
+    return entity_match.match_with_queue(table(spark, d, "norwegian_membership"), table(spark, d, "source_rows"))[1]
+
+
 def p5_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "reviewed_representative"), table(spark, d, "source_rows"))
 
@@ -53,4 +58,4 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.corpus_by_subject(p9_found(spark, d), table(spark, d, "doc_labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_survivors, p7_ids, p8_containers, p8_fill, p9_found, p9_composition)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p1_review, p5_found, p5_survivors, p7_ids, p8_containers, p8_fill, p9_found, p9_composition)}
