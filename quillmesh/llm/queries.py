@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.oracles import ORACLES  # noqa: F401
 from quillmesh.llm import entity_match, packing, subjects, survivor, tokens
+from quillmesh.sources.stages import durable
 from quillmesh.sources.tables import table
 
 #: Capacity of a container in tokens.
@@ -40,14 +41,25 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
 
+def _token_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode_corpus(table(spark, d, "documents"), sizes_only=True)
+
+
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    sizes = tokens.encode_corpus(table(spark, d, "documents"), sizes_only=True)
-    packed = packing.pack(sizes, "doc_id", "size", CONTAINER_TOKENS)
+    packed = packing.pack(_token_sizes(spark, d), "doc_id", "size", CONTAINER_TOKENS)
+    return packed.withColumnsRenamed({"item_id": "doc_id", "size": "n_tokens"})
+
+
+def p8_tight(spark: SparkSession, d: str) -> DataFrame:
+    packed = packing.pack_tight(_token_sizes(spark, d), "doc_id", "size", CONTAINER_TOKENS)
     return packed.withColumnsRenamed({"item_id": "doc_id", "size": "n_tokens"})
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
-    return packing.fill_report(p8_containers(spark, d).withColumnRenamed("n_tokens", "size"), CONTAINER_TOKENS)
+    """How full the containers of each step of both ways of packing are."""
+    sizes = durable(_token_sizes(spark, d))
+    reports = [packing.fill_report(way(sizes, "doc_id", "size", CONTAINER_TOKENS), CONTAINER_TOKENS) for way in (packing.pack, packing.pack_tight)]
+    return reports[0].unionByName(reports[1].where("step <> 'all'"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -58,4 +70,4 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.corpus_by_subject(p9_found(spark, d), table(spark, d, "doc_labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p1_review, p5_found, p5_survivors, p7_ids, p8_containers, p8_fill, p9_found, p9_composition)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_matches, p1_review, p5_found, p5_survivors, p7_ids, p8_containers, p8_tight, p8_fill, p9_found, p9_composition)}

@@ -2,24 +2,31 @@
 
 Fields that depend on each other form a *bundle* (a title with its type, an
 ISSN with the list it belongs to, ...), and a survivor takes a whole bundle from
-one record, never half of it.  Every bundle of every record is a candidate
-with a trust: the record that stands for the group first, the others by
-recency, then by id.  Functional dependencies that hold in the table at large
-(a field belongs to one domain) restrict which candidates may be combined.
+one record, never half of it.  The record that stands for the group is a bundle
+as well.  Every bundle of every record is a candidate with a trust, and
+functional dependencies restrict which candidates may be combined:
+
+* *representative -> publisher, title, issn*: a representative with a usable
+  bundle of its own determines where that bundle comes from;
+* *field -> domain*: a field belongs to one domain, that of the table at large.
+
 Branch and bound finds the combination of highest total trust: bundles are
 decided in order of weight, the bound is the trust still open, and a branch
-ends where a dependency is broken or the bound cannot win.
+ends where a dependency is broken or the bound cannot win.  A better
+representative outweighs everything else; publisher, title and ISSN are trusted
+by recency, the other bundles by the merit of their record.
 
 Groups may be of any size: before they meet, candidates are reduced by a
 map-side combinable maximum to the best one for each combination of the
-attributes that dependencies look at (and whether it is the
-representative's own), which is all that branch and bound can tell apart.
+attributes that dependencies look at, which is all that branch and bound can
+tell apart: a representative for each set of bundles it has of its own, one
+field for each field.  The domains of fields join the reduced candidates.
 
 Defined results: missing values and placeholders are no candidates; a bundle
 without candidates, or whose candidates all break a dependency, stays null;
 repeated rows count once; a record without a time is the oldest; ties go to
-the smaller id; groups without a member present give no row; empty tables
-give no rows.
+the smaller id; an approved representative stands even if it is absent;
+groups without a member present give no row; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -96,30 +103,58 @@ def best_combination(bundles: Mapping[str, Sequence[Candidate]], dependencies: S
     return best
 
 
-#: Most determinant values of a dependency that may travel to every task.
-MOST_FACTS = 100_000
+#: Weight of a step between two representatives: more than all other bundles together.
+STEP = 10.0
 
-#: Trust of a bundle of the representative itself; others get up to 1 by recency.
-OWN_TRUST = 2.0
+#: Bundles that a representative determines if it has them itself; they are trusted by recency.
+DETERMINED = ["publisher", "title", "issn"]
 
 
-def resolve_groups(groups: DataFrame, bundles: Sequence[str], dependencies: Sequence[Dependency]) -> DataFrame:
-    """(group, bundle, source_id, values) of each group's best combination.
+def group_bundles(rows: Sequence[Mapping], approved: str | None) -> tuple[dict[str, list[Candidate]], list[Dependency]]:
+    """Candidates with their trust, and the dependencies, of one group.
 
-    ``groups`` is (group, candidates), an array of (bundle, source_id, own, updated, values, seen) already reduced.
+    ``rows`` have bundle, source_id, own (the record's bundles of DETERMINED), merit, updated, number, values, seen, domain.
     """
+    by_merit = sorted(rows, key=lambda r: tuple(r["merit"]), reverse=True)
+    by_time = sorted(rows, key=lambda r: (r["updated"] is not None, r["updated"] or datetime.min, -r["number"]), reverse=True)
+    # A standing record and its own bundles arrive in one row; they part here.
+    standing = [r for r in by_merit if r["bundle"] == "representative"]
+    ids = list(dict.fromkeys([*([approved] if approved else []), *(r["source_id"] for r in standing)]))
+    bundles = {"representative": [Candidate(i, STEP * (len(ids) - k), {"representative": i}, "") for k, i in enumerate(ids)]}
+    dependencies: list[Dependency] = []
+    for name in DETERMINED:
+        owners = {r["source_id"]: r["own"][name] for r in standing if r["own"].get(name) is not None}
+        dependencies.append(("representative", name, {i: i for i in owners}))
+        found: dict[str, str] = {}
+        for r in by_time:
+            if r["bundle"] == name:
+                found.setdefault(r["source_id"], r["values"])
+            elif r["bundle"] == "representative" and r["source_id"] in owners:
+                found.setdefault(r["source_id"], owners[r["source_id"]])
+        bundles[name] = [Candidate(i, 1 / (1 + k), {name: i}, v) for k, (i, v) in enumerate(found.items())]
+    domains: dict[str, str] = {}
+    for r in by_merit:
+        if r["bundle"] in ("field", "domain", "access"):
+            have = bundles.setdefault(r["bundle"], [])
+            have.append(Candidate(r["source_id"], 1 / (1 + len(have)), dict(r["seen"]), r["values"]))
+            if r["domain"] is not None:
+                domains[r["seen"]["oa_field"]] = r["domain"]
+    return bundles, [*dependencies, ("oa_field", "oa_domain", domains)]
+
+
+def resolve_groups(groups: DataFrame) -> DataFrame:
+    """(group, bundle, source_id, values) of each group's best combination; ``groups`` is (group, approved, candidates)."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for key, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                per: dict[str, list[Candidate]] = {name: [] for name in bundles}
-                rows.sort(key=lambda r: (len(r["source_id"]), r["source_id"]))
-                rows.sort(key=lambda r: (r["updated"] is not None, r["updated"] or datetime.min), reverse=True)
+            for key, approved, rows in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 for r in rows:
-                    trust = OWN_TRUST if r["own"] else 1 / (1 + sum(not c.trust == OWN_TRUST for c in per[r["bundle"]]))
-                    per[r["bundle"]].append(Candidate(r["source_id"], trust, dict(r["seen"]), r["values"]))
-                out += [(key, name, c.source, c.values) for name, c in best_combination(per, dependencies).items() if c]
+                    r["own"], r["seen"] = dict(r["own"] or ()), dict(r["seen"] or ())
+                    r["merit"] = list(r["merit"].values())
+                    r["merit"][3:4] = [r["merit"][3] is not None, r["merit"][3] or datetime.min]
+                chosen = best_combination(*group_bundles(rows, approved))
+                out += [(key, name, c.source, c.values) for name, c in chosen.items() if c]
             columns = list(zip(*out, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["group", "bundle", "source_id", "values"])
 
@@ -128,7 +163,7 @@ def resolve_groups(groups: DataFrame, bundles: Sequence[str], dependencies: Sequ
 
 # --- journals -----------------------------------------------------------------------------------------------
 
-BUNDLES = ["title", "publisher", "issn", "field", "domain", "access"]
+BUNDLES = ["representative", *DETERMINED, "field", "domain", "access"]
 
 
 def newest_states(sources: DataFrame) -> DataFrame:
@@ -171,46 +206,45 @@ def survivors(reviewed: DataFrame, sources: DataFrame) -> DataFrame:
     present = members.join(states, "source_id").join(decided, "group", "left")
     number = id_number(F.col("source_id"))
     merit = F.struct(
+        F.coalesce(F.col("source_id") == F.col("approved"), F.lit(False)).alias("approved"),
         F.coalesce(F.lower(blank_to_null("source_type")) == "journal", F.lit(False)).alias("journal"),
         sum((F.col(f"ok_{k}").cast("int") for k in checks), F.lit(0)).alias("usable"),
         F.col("updated_date").alias("updated"),
         (-number).alias("smaller"),
     )
-    chosen = present.groupBy("group").agg(F.coalesce(F.max("approved"), F.max_by("source_id", merit)).alias("canonical"))
-
     text = lambda *names: F.to_json(F.struct(*names))
-    none = F.create_map().cast("map<string,string>")
+    nothing = F.create_map().cast("map<string,string>")
     say = lambda name: F.create_map(F.lit(name), F.col(name))
-    options = [
-        ("title", F.col("ok_title"), text("title", "source_type"), none),
-        ("publisher", F.col("ok_publisher"), text("publisher"), none),
-        ("issn", F.col("ok_raw_issn_l"), text("raw_issn_l", "issns"), none),
-        ("field", F.col("ok_oa_field"), text("oa_field"), say("oa_field")),
-        ("domain", usable(F.col("oa_domain")), text("oa_domain"), say("oa_domain")),
-        ("access", F.col("ok_is_open_access"), text("is_open_access"), none),
-    ]
-    bundle = F.array(*[F.struct(F.lit(n).alias("bundle"), ok.alias("ok"), v.alias("values"), seen.alias("seen")) for n, ok, v, seen in options])
-    candidates = (
-        present.join(chosen, "group")
-        .select("group", "source_id", (F.col("source_id") == F.col("canonical")).alias("own"), F.col("updated_date").alias("updated"), F.explode(bundle).alias("b"))
-        .where("b.ok")
-        .select("group", "source_id", "own", "updated", "b.bundle", "b.values", F.to_json("b.seen").alias("sign"), "b.seen")
-    )
-    best = candidates.groupBy("group", "bundle", "sign", "own").agg(
-        F.max_by(F.struct("bundle", "source_id", "own", "updated", "values", "seen"), F.struct(F.col("updated"), -number)).alias("c")
-    )
-    groups = best.groupBy("group").agg(F.collect_list("c").alias("candidates"))
-
-    # The dependency field -> domain as the whole table has it; it travels to every task, so its size is checked.
+    values = {"publisher": text("publisher"), "title": text("title", "source_type"), "issn": text("raw_issn_l", "issns"), "field": text("oa_field"), "domain": text("oa_domain"), "access": text("is_open_access")}
+    good = {"publisher": F.col("ok_publisher"), "title": F.col("ok_title"), "issn": F.col("ok_raw_issn_l"), "field": F.col("ok_oa_field"), "domain": usable(F.col("oa_domain")), "access": F.col("ok_is_open_access")}
+    seen = {"field": say("oa_field"), "domain": say("oa_domain")}
+    own = F.map_filter(F.create_map(*[x for n in DETERMINED for x in (F.lit(n), F.when(good[n], values[n]))]), lambda _, v: v.isNotNull())
+    flags = F.concat_ws("", *[good[n].cast("int").cast("string") for n in DETERMINED])
+
+    def option(name: str) -> Column:
+        stands = name == "representative"
+        sign = flags if stands else F.to_json(seen[name]) if name in seen else F.lit("")
+        # What wins among candidates that look alike: the merit of the record, or its time.
+        rank = F.struct(F.lit(None).cast("timestamp").alias("at"), merit.alias("merit")) if name not in DETERMINED else F.struct(F.col("updated_date").alias("at"), F.struct(F.lit(False).alias("approved"), F.lit(False).alias("journal"), F.lit(0).alias("usable"), F.lit(None).cast("timestamp").alias("updated"), (-number).alias("smaller")).alias("merit"))
+        return F.struct(
+            F.lit(name).alias("bundle"), (F.lit(True) if stands else good[name]).alias("ok"), sign.alias("sign"), rank.alias("rank"), (F.lit(None).cast("string") if stands else values[name]).alias("values"),
+            (own if stands else nothing).alias("own"), seen.get(name, nothing).alias("seen"),
+        )
+
+    candidates = present.select("group", "source_id", "approved", merit.alias("merit"), F.col("updated_date").alias("updated"), number.alias("number"), F.explode(F.array(*[option(n) for n in BUNDLES])).alias("b")).where("b.ok")
+    kept = F.struct("source_id", "merit", "updated", "number", F.col("b.values").alias("values"), F.col("b.own").alias("own"), F.col("b.seen").alias("seen"))
+    best = candidates.groupBy("group", F.col("b.bundle").alias("bundle"), F.col("b.sign").alias("sign")).agg(F.max_by(kept, F.col("b.rank")).alias("c"), F.max("approved").alias("approved"))
+
+    # The dependency field -> domain as the whole table has it.
     pairs = sources.where(usable(F.col("oa_field")) & usable(F.col("oa_domain"))).groupBy("oa_field", "oa_domain").agg(F.count("*").alias("n"))
-    known = pairs.groupBy("oa_field").agg(F.max_by("oa_domain", F.struct("n", "oa_domain")).alias("oa_domain")).limit(MOST_FACTS + 1).collect()
-    if len(known) > MOST_FACTS:
-        raise ValueError(f"more than {MOST_FACTS} fields: the dependency is too large to travel to every task")
-    facts = {r.oa_field: r.oa_domain for r in known}
-    resolved = resolve_groups(groups, BUNDLES, [("oa_field", "oa_domain", facts)])
-
-    wide = resolved.groupBy("group").agg(
-        *[F.max(F.when(F.col("bundle") == b, F.col("source_id"))).alias(f"{b}_source_id") for b in BUNDLES],
+    facts = pairs.groupBy("oa_field").agg(F.max_by("oa_domain", F.struct("n", "oa_domain")).alias("domain"))
+    told = best.withColumn("oa_field", F.when(F.col("bundle") == "field", F.element_at("c.seen", F.lit("oa_field")))).join(facts, "oa_field", "left")
+    groups = told.groupBy("group").agg(F.max("approved").alias("approved"), F.collect_list(F.struct("bundle", "c.*", "domain")).alias("candidates"))
+    resolved = resolve_groups(groups)
+
+    source_of = lambda b: F.max(F.when(F.col("bundle") == b, F.col("source_id")))
+    return resolved.groupBy(F.col("group").alias("issn_l")).agg(
+        source_of("representative").alias("canonical_source_id"),
+        *[source_of(b).alias(f"{b}_source_id") for b in BUNDLES[1:]],
         *[F.max(F.when(F.col("bundle") == b, F.get_json_object("values", f"$.{f}"))).alias(f) for b, f in [("title", "title"), ("title", "source_type"), ("publisher", "publisher"), ("issn", "raw_issn_l"), ("field", "oa_field"), ("domain", "oa_domain"), ("access", "is_open_access")]],
     )
-    return chosen.join(wide, "group", "left").withColumnsRenamed({"group": "issn_l", "canonical": "canonical_source_id"})

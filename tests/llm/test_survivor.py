@@ -80,6 +80,19 @@ def test_field_and_domain_stay_consistent(spark):
     assert r.oa_field == "Law" and r.field_source_id == "S1" and r.domain_source_id == "S2"
 
 
+def test_a_dependency_changes_the_publisher():
+    """Without the dependency the newer publisher would win; with it the representative's own does, and an absent one leaves the newer."""
+    merit = lambda k: [False, True, k, True, T(1), -k]
+    row = lambda bundle, i, day, own=(), values="", k=1: {"bundle": bundle, "source_id": i, "own": dict(own), "merit": merit(k), "updated": T(day), "number": int(i[1:]), "values": values, "seen": {}, "domain": None}
+    rows = [row("representative", "S1", 1, {"publisher": "old"}, k=6), row("representative", "S2", 9, k=5), row("publisher", "S3", 9, values="new")]
+    bundles, dependencies = survivor.group_bundles(rows, None)
+    free, bound = best_combination(bundles, []), best_combination(bundles, dependencies)
+    assert (free["representative"].source, free["publisher"].source) == ("S1", "S3")
+    assert (bound["representative"].source, bound["publisher"].source, bound["publisher"].values) == ("S1", "S1", "old")
+    chosen = best_combination(*survivor.group_bundles(rows, "S9"))
+    assert (chosen["representative"].source, chosen["publisher"].source) == ("S9", "S3")
+
+
 def test_many_copies_in_one_component(spark):
     ids = [f"S{i}" for i in range(1, 400)]
     r = survivors(spark, [review(ids)] * 3, [source(i, publisher="n/a" if int(i[1:]) % 2 else "P") for i in ids] * 2)["0378-5955"]
