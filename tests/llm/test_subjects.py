@@ -37,15 +37,54 @@ def test_sentences():
     assert subjects.sentences("") == [] and subjects.sentences(" \t ") == []
 
 
+def decode(model, rows):
+    return [set(x) for x in model.decode(model.inputs(*zip(*[r[:4] for r in rows], strict=True)))]
+
+
 def test_held_out_accuracy_and_passing_mentions():
     model = subjects.fit(corpus(1, 400), sorted(TERMS))
     test = corpus(2, 300)
-    got = [set(model.decode(model.inputs(*r[:4]))) for r in test]
+    got = decode(model, test)
     hit = sum(len(g & r[4]) for g, r in zip(got, test, strict=True))
     assert hit / sum(map(len, got)) > 0.95 and hit / sum(len(r[4]) for r in test) > 0.93
-    assert model.decode(model.inputs("An unrelated note on plasma appears elsewhere.", None, None, None)) == []
-    for empty in (None, "", " \n", "x" * 200_000):
-        assert model.decode(model.inputs(empty, None, None, None)) == []
+    odd = ["An unrelated note on plasma appears elsewhere.", None, "", " \n", "x" * 200_000, "<" * 5000]
+    assert decode(model, [(t, None, None, None) for t in odd]) == [set()] * len(odd)
+
+
+def test_few_labels_lean_on_each_other():
+    """Thirty labelled documents: what evidence means is learned over all subjects together."""
+    model = subjects.fit(corpus(1, 30), sorted(TERMS))
+    test = corpus(2, 300)
+    got = decode(model, test)
+    hit = sum(len(g & r[4]) for g, r in zip(got, test, strict=True))
+    assert hit / sum(map(len, got)) > 0.9 and hit / sum(len(r[4]) for r in test) > 0.6
+
+
+def test_batches_give_what_single_documents_give():
+    model = subjects.fit(corpus(3, 120), sorted(TERMS))
+    texts = [r[0] for r in corpus(7, 60)] + ["", "court court. Court!", "tenancy dispute tenancy dispute; quantum state"]
+    docs = [subjects.sentences(t) for t in texts]
+    evidence, used = model.evidence(docs)
+    for d, row, u in zip(docs, evidence, used, strict=True):
+        one = subjects.find_terms(d, model.terms, subjects.first_words(model.terms))
+        assert np.allclose(row, subjects.features(one, model.odds, len(TERMS)), atol=1e-6) and u == len({k for k, *_ in one.mentions})
+    assert model.evidence([])[0].shape == (0, 3 * subjects.FEATURES) and model.inputs([], [], [], []).shape[0] == 0
+
+
+def test_notes_are_evidence():
+    notes = subjects.prior_words([("law", "Law", "norms and courts"), ("sport", "Sport", "athletes and courts"), ("physics", None, None)], sorted(TERMS))
+    assert notes == [{"norms", "law"} if s == "law" else {"athletes", "sport"} if s == "sport" else set() for s in sorted(TERMS)]
+    model = subjects.fit(corpus(1, 60), sorted(TERMS), notes=notes)
+    assert model.terms["athletes"][0] == sorted(TERMS).index("sport") and "and" not in model.terms
+
+
+def test_chunks_keep_every_row():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["aaaa", None, "b" * 30, "", "cc", "dddd", "e" * 9])], names=["id", "text"])
+    for most in (1, 5, 10, 1000):
+        parts = list(subjects.chunks(batch, most))
+        assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(7)) and all(len(p) for p in parts)
 
 
 def test_a_sequence_of_two_documents_is_a_term_at_every_size():
@@ -56,8 +95,8 @@ def test_a_sequence_of_two_documents_is_a_term_at_every_size():
 
 def test_beam_finds_the_best_combination():
     model = subjects.fit(corpus(3, 120), sorted(TERMS))
-    for r in corpus(4, 25):
-        x = model.inputs(*r[:4])
+    inputs = model.inputs(*zip(*[r[:4] for r in corpus(4, 25)], strict=True))
+    for x, chosen in zip(inputs, model.best_combinations(inputs), strict=True):
 
         def joint(combo, x=x):
             score = 0.0
@@ -66,9 +105,7 @@ def test_beam_finds_the_best_combination():
                 score -= np.logaddexp(0, -z if combo[step] else z)
             return score
 
-        treated = [x[s * subjects.FEATURES] > 0 for s in model.order]
-        best = max((c for c in itertools.product([0, 1], repeat=3) if all(t or not v for v, t in zip(c, treated, strict=True))), key=joint)
-        assert model.best_combination(x) == {model.order[k] for k, t in enumerate(best) if t}
+        assert chosen.tolist() == [bool(v) for v in max(itertools.product([0, 1], repeat=3), key=joint)]
 
 
 def test_assignment(spark):
