@@ -21,10 +21,16 @@ CITED_TYPES = ["article", "review"]
 WINDOW = 5
 
 
-def eligible_works(works: DataFrame, first: int, last: int) -> DataFrame:
-    """Works of the years and types that count, with a journal key and no paratext; null paratext counts as none."""
+def eligible_rows(works: DataFrame, years: list[int], window: int = WINDOW) -> DataFrame:
+    """Works records of the years and types that count for the score years, with a journal key and no paratext.
+
+    Null paratext counts as none.  The conditions are on the columns as stored, before a version is chosen: they reach the
+    scan, and a work whose newest record does not count keeps its newest one that does.
+    """
+    if not years:
+        return works.where(F.lit(False))
     return works.where(
-        F.col("year").between(first, last) & F.col("work_type").isin(CITING_TYPES) & F.col("raw_issn_l").isNotNull() & ~F.coalesce("is_paratext", F.lit(False))
+        F.col("publication_year").between(min(years) - window, max(years)) & F.col("type").isin(CITING_TYPES) & F.col("primary_location.source.issn_l").isNotNull() & (F.col("is_paratext").isNull() | (F.col("is_paratext") == F.lit(False)))
     )
 
 
@@ -40,11 +46,11 @@ def window_counts(yearly: DataFrame, score_years: list[int], window: int = WINDO
     return yearly.select("*", F.explode(served).alias("score_year")).groupBy("score_year", "source_id", "raw_issn_l").agg(F.sum("a_raw").alias("a_raw"), F.sum("a_filtered").alias("a_filtered"))
 
 
-def active_years(counts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(score_year, issn_l, active_years): years of the window ending with the score year in which the key has publications."""
-    alive = counts.where("a_raw > 0").select("issn_l", F.col("score_year").alias("year")).distinct()
-    served = alive.select("issn_l", F.explode(F.sequence(F.col("year"), F.col("year") + (window - 1))).alias("score_year"))
-    return served.groupBy("score_year", "issn_l").agg(F.count("*").alias("active_years"))
+def active_years(yearly: DataFrame, score_years: list[int], window: int = WINDOW, key: str = "raw_issn_l") -> DataFrame:
+    """(score_year, issn_l, active_years): years of the window before the score year in which the key has publications; ``yearly`` as of :func:`yearly_counts`."""
+    alive = yearly.where(F.col(key).isNotNull() & (F.col("a_raw") > 0)).select(F.col(key).alias("issn_l"), "year").distinct()
+    served = F.filter(F.sequence(F.col("year") + 1, F.col("year") + window), lambda y: y.isin(score_years))
+    return alive.select("issn_l", F.explode(served).alias("score_year")).groupBy("score_year", "issn_l").agg(F.count("*").alias("active_years"))
 
 
 def citation_edges(citing: DataFrame, cited: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -98,10 +104,16 @@ def universe_states(counts: DataFrame, edges: DataFrame, members: DataFrame) ->
 
 
 def state_edges(edges: DataFrame, states: DataFrame) -> DataFrame:
-    """Edges with both ends in the state, without self-citations, per universe."""
-    citing = states.select("score_year", "universe", F.col("issn_l").alias("citing"))
-    cited = states.select("score_year", "universe", F.col("issn_l").alias("cited"))
-    return edges.where("citing <> cited").join(citing, ["score_year", "citing"]).join(cited, ["score_year", "universe", "cited"])
+    """Edges with both ends in the state, without self-citations, per universe.
+
+    The universes of a key are one short array, so edges meet each end once and are repeated by universe only after both
+    ends have passed.  The states have one row a key and year: adaptive execution broadcasts them below its
+    size limit and splits hot keys beyond.
+    """
+    named = states.groupBy("score_year", "issn_l").agg(F.collect_set("universe").alias("u"))
+    end = lambda side: named.select("score_year", F.col("issn_l").alias(side), F.col("u").alias(f"__{side}"))
+    met = edges.where("citing <> cited").join(end("citing"), ["score_year", "citing"]).join(end("cited"), ["score_year", "cited"])
+    return met.select(*edges.columns, F.explode(F.array_intersect("__citing", "__cited")).alias("universe"))
 
 
 def used_citations(edges: DataFrame, states: DataFrame) -> DataFrame:

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions.ids import issn_key_is_valid, issn_status
 
-UNKNOWN_FOR = {"oa_field": "Unknown", "oa_domain": "Unknown"}
-CONFLICT_FOR = {"oa_field": "Conflicting fields", "oa_domain": "Conflicting domains"}
+# What stands for a conflict and for a missing value in the published attributes.
+CONFLICT_FOR = {"source_type": "Multiple source types", "oa_field": "Multiple OA fields", "oa_domain": "Multiple OA domains"}
+UNKNOWN_FOR = dict.fromkeys(CONFLICT_FOR, "Unknown")
+# How an attribute came about.
+OWN, OWN_CONFLICT, ALL, ALL_CONFLICT, MISSING = "canonical_arm", "canonical_arm_conflict", "unanimous_component_fallback", "component_conflict", "missing"
 
 
 def project_keys(rows: DataFrame, source: str, key: str, overrides: DataFrame, aliases: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -51,6 +54,24 @@ def null_safe_mapping(edges: DataFrame, mapping: DataFrame, ends: dict[str, tupl
     return out
 
 
+def project_edges(edges: DataFrame, overrides: DataFrame, aliases: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Citations between raw identities with both ends projected: (score_year, citing, cited, n_raw, n_filtered), null where an end is quarantined.
+
+    ``edges`` is (score_year, citing_source_id, raw_citing_issn_l, cited_source_id, raw_cited_issn_l, n_raw, n_filtered).
+    """
+    out = edges
+    for end in ("citing", "cited"):
+        out = project_keys(out, f"{end}_source_id", f"raw_{end}_issn_l", overrides, aliases, corrections).withColumnRenamed("effective_key", end).drop("projected_by")
+    return out.groupBy("score_year", "citing", "cited").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_filtered").alias("n_filtered"))
+
+
+def edge_conservation(projected: DataFrame) -> DataFrame:
+    """Per score year: mass under effective keys and mass in quarantine; together they are what went in."""
+    kept = F.col("citing").isNotNull() & F.col("cited").isNotNull()
+    sums = [F.coalesce(F.sum(F.when(test, F.col(m))), F.lit(0)).alias(f"{name}_{m}") for name, test in (("effective", kept), ("quarantined", ~kept)) for m in ("n_raw", "n_filtered")]
+    return projected.groupBy("score_year").agg(F.count_if(kept).alias("effective_edges"), *sums)
+
+
 def consensus(column: str, canonical: Column) -> tuple[Column, Column]:
     """(value, how) of an attribute over a group: the canonical members' value if it is one, else the group's, else a conflict.
 
@@ -59,7 +80,7 @@ def consensus(column: str, canonical: Column) -> tuple[Column, Column]:
     own, every = F.collect_set(F.when(canonical, F.col(column))), F.collect_set(column)
     conflict, missing = F.lit(CONFLICT_FOR.get(column)), F.lit(UNKNOWN_FOR.get(column))
     value = F.when(F.size(own) == 1, own[0].cast("string")).when(F.size(own) > 1, conflict).when(F.size(every) == 1, every[0].cast("string")).when(F.size(every) > 1, conflict).otherwise(missing)
-    how = F.when(F.size(own) == 1, "canonical").when(F.size(own) > 1, "canonical_conflict").when(F.size(every) == 1, "unanimous").when(F.size(every) > 1, "conflict").otherwise("missing")
+    how = F.when(F.size(own) == 1, OWN).when(F.size(own) > 1, OWN_CONFLICT).when(F.size(every) == 1, ALL).when(F.size(every) > 1, ALL_CONFLICT).otherwise(MISSING)
     return value, how
 
 

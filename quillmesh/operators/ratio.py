@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Kinds of citing sources.
-COMPONENTS = {"N-journal": "n_journal", "N-nonjournal": "n_nonjournal", "outside-N-journal": "outside_journal", "outside-N-book-proceedings": "outside_book", "other": "other"}
+COMPONENTS = ["N-journal", "N-nonjournal", "outside-N-journal", "outside-N-book-proceedings", "other"]
 # Named sets of citable types.
 POLICIES = {
     "AR": ["article", "review"],
@@ -22,6 +22,13 @@ POLICIES = {
     "AR_DP_SP_CP": ["article", "review", "data-paper", "software-paper", "conference-paper"],
 }
 RETRACTION = ["all", "without_retracted"]
+# States of a score.
+DEFINED, NO_REF_ITEMS, NO_ITEMS = "defined", "ref_denominator_collapse", "no_raw_citable_items"
+
+
+def component_column(label: str) -> str:
+    """Column name of a kind of citing source: its label in lower case, words joined by underscores."""
+    return "_".join(label.lower().split("-"))
 
 
 def canonical_works(rows: DataFrame, aliases: DataFrame | None) -> DataFrame:
@@ -57,7 +64,7 @@ def citation_components(targets: DataFrame, citing: DataFrame, window: int, alia
         counted = F.lit(True) if mode == "all" else ~F.col("citing_retracted") & ~F.col("target_retracted")
         sums.append(F.count_if(counted).alias(f"n_{mode}"))
         sums.append(F.count_if(counted & (F.col("citing_journal") == F.col("journal_id"))).alias(f"self_{mode}"))
-        sums += [F.count_if(counted & (F.col("source_component") == label)).alias(f"{name}_{mode}") for label, name in COMPONENTS.items()]
+        sums += [F.count_if(counted & (F.col("source_component") == label)).alias(f"{component_column(label)}_{mode}") for label in COMPONENTS]
     return met.groupBy("citation_year", "journal_id", "work_type", "has_refs").agg(*sums)
 
 
@@ -94,7 +101,7 @@ def score_grid(counts: DataFrame) -> DataFrame:
         tail = "" if mode == "all" else "_without_retracted"
         cells += [F.struct(F.lit(mode).alias("retraction"), F.lit(a).alias("numerator"), F.lit(b).alias("denominator"), F.col(f"c_{a}{tail}").alias("citations"), F.col(f"d_{b}").alias("items")) for a in ("raw", "ref") for b in ("raw", "ref")]
     long = counts.select("policy", "citation_year", "journal_id", "d_raw", F.explode(F.array(*cells)).alias("x")).select("policy", "citation_year", "journal_id", "d_raw", "x.*")
-    status = F.when(F.col("items") > 0, "defined").when(F.col("d_raw") > 0, "ref_denominator_collapse").otherwise("no_raw_citable_items")
+    status = F.when(F.col("items") > 0, DEFINED).when(F.col("d_raw") > 0, NO_REF_ITEMS).otherwise(NO_ITEMS)
     return long.select("policy", "citation_year", "journal_id", "retraction", "numerator", "denominator", "citations", "items", F.try_divide(F.col("citations"), F.col("items")).alias("score"), status.alias("status"))
 
 
@@ -125,7 +132,7 @@ def annual_ratio(counts: DataFrame, policy: str, window: int) -> DataFrame:
     late = F.col("citation_year") >= RETRACTION_FROM
     c = lambda n: F.when(late, F.col(f"c_{n}_without_retracted")).otherwise(F.col(f"c_{n}"))
     raw, ref = F.try_divide(c("raw"), F.col("d_raw")), F.try_divide(c("ref"), F.col("d_ref"))
-    status = F.when(F.col("d_ref") > 0, "defined").when(F.col("d_raw") > 0, "ref_denominator_collapse").otherwise("no_raw_citable_items")
+    status = F.when(F.col("d_ref") > 0, DEFINED).when(F.col("d_raw") > 0, NO_REF_ITEMS).otherwise(NO_ITEMS)
     return counts.where(F.col("policy") == policy).select(
         "citation_year", "journal_id", F.lit(window).alias("window_years"), c("raw").alias("citations_raw"), c("ref").alias("citations_ref"), "d_raw", "d_ref", raw.alias("score_raw"), ref.alias("score_ref"), (ref - raw).alias("score_difference"),
         status.alias("status"), F.when(late, "without_retracted").otherwise("all").alias("retraction"), F.concat((F.col("citation_year") + 2).cast("string"), F.lit("-01-01")).alias("mature_on"),

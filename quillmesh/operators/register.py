@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.functions.ids import blank_to_null, issn_key, issn_text, valid_issn
+from quillmesh.functions.ids import blank_to_null, issn_text, valid_issn
 
 
 def roster(register: DataFrame) -> DataFrame:
@@ -25,6 +25,10 @@ def unpivot_levels(wide: DataFrame, ids: list[str], prefix: str = "Level ") -> D
     return long.select(*ids, F.expr(f"try_cast(substr(year_column, {len(prefix) + 1}) as int)").alias("score_year"), F.col("level_text").try_cast("int").alias("level")).where("level IS NOT NULL")
 
 
+# Outcomes of matching by ISSN.
+NO_ISSN, NO_MATCH, MATCH, SEVERAL = "missing_register_issns", "no_exact_issn_match", "exact_issn", "ambiguous_exact_issn_match"
+
+
 def match_by_issn(members: DataFrame, aliases: DataFrame) -> DataFrame:
     """(score_year, journal_id, level, n_targets, issn_l, outcome): exactly one effective key is a match, none or several go to the queue.
 
@@ -35,14 +39,14 @@ def match_by_issn(members: DataFrame, aliases: DataFrame) -> DataFrame:
     hits = wanted.join(aliases.distinct(), "issn").select(*ids, "effective_key").distinct()
     per = hits.groupBy(*ids).agg(F.count("*").alias("n_targets"), F.min("effective_key").alias("only"), F.array_join(F.array_sort(F.collect_set("effective_key")), "|").alias("candidates"))
     out = members.join(per, ids, "left").withColumn("n_targets", F.coalesce("n_targets", F.lit(0)))
-    outcome = F.when(F.size("issns") == 0, "missing_register_issns").when(F.col("n_targets") == 0, "no_exact_issn_match").when(F.col("n_targets") == 1, "exact_issn").otherwise("ambiguous_exact_issn_match")
+    outcome = F.when(F.size("issns") == 0, NO_ISSN).when(F.col("n_targets") == 0, NO_MATCH).when(F.col("n_targets") == 1, MATCH).otherwise(SEVERAL)
     return out.select(*ids, "level", "n_targets", F.when(F.col("n_targets") == 1, F.col("only")).alias("issn_l"), F.coalesce("candidates", F.lit("")).alias("candidates"), outcome.alias("outcome"))
 
 
 def grouped_members(matched: DataFrame) -> DataFrame:
     """Per year and key: register ids in numerical order, how many, and the highest level."""
     number = F.coalesce(F.col("journal_id").try_cast("bigint"), F.lit(0))
-    rows = matched.where("outcome = 'exact_issn'").groupBy("score_year", "issn_l").agg(F.array_sort(F.collect_set(F.struct(number.alias("n"), "journal_id"))).alias("ids"), F.max("level").alias("level"))
+    rows = matched.where(F.col("outcome") == MATCH).groupBy("score_year", "issn_l").agg(F.array_sort(F.collect_set(F.struct(number.alias("n"), "journal_id"))).alias("ids"), F.max("level").alias("level"))
     return rows.select("score_year", "issn_l", F.array_join(F.transform("ids", lambda x: x["journal_id"]), " | ").alias("journal_ids"), F.size("ids").cast("long").alias("n_journals"), "level")
 
 
@@ -70,15 +74,33 @@ def display_entries(members: DataFrame, titles: DataFrame) -> DataFrame:
 
     ``titles`` is (score_year, journal_id, title, print_issn, online_issn); each entry keeps its ISSNs as dashed text.
     """
-    each = titles.join(members.where("outcome = 'exact_issn'").select("score_year", "journal_id", "issn_l"), ["score_year", "journal_id"])
+    each = titles.join(members.where(F.col("outcome") == MATCH).select("score_year", "journal_id", "issn_l"), ["score_year", "journal_id"])
     entry = F.struct(F.coalesce(F.col("journal_id").try_cast("bigint"), F.lit(0)).alias("n"), F.struct(F.col("journal_id").alias("id"), "title", issn_text("print_issn").alias("print"), issn_text("online_issn").alias("online")).alias("e"))
     rows = each.groupBy("score_year", "issn_l").agg(F.array_sort(F.collect_set(entry)).alias("x"))
     return rows.select("score_year", "issn_l", F.size("x").cast("long").alias("n_entries"), F.to_json(F.transform("x", lambda r: r["e"])).alias("entries_json"))
 
 
+def areas(matched: DataFrame, register: DataFrame) -> DataFrame:
+    """(score_year, issn_l, register_area, register_field): disciplines and fields of the register entries of a journal, in order."""
+    said = register.select("score_year", blank_to_null("journal_id").alias("journal_id"), "discipline", "field")
+    met = matched.where(F.col("outcome") == MATCH).select("score_year", "journal_id", "issn_l").join(said, ["score_year", "journal_id"])
+    joined = lambda c: F.nullif(F.array_join(F.array_sort(F.collect_set(c)), " | "), F.lit(""))
+    return met.groupBy("score_year", "issn_l").agg(joined("discipline").alias("register_area"), joined("field").alias("register_field"))
+
+
 def title_key(title: Column | str) -> Column:
-    """Letters and digits of a title in lower case."""
-    return F.lower(F.regexp_replace(F.col(title) if isinstance(title, str) else title, r"[^\p{L}\p{N}]", ""))
+    """Letters and digits of a title in lower case, compatibility forms (full-width letters, ligatures) as plain ones."""
+    text = F.col(title) if isinstance(title, str) else title
+    return F.lower(F.regexp_replace(plain_forms(text), r"[^\p{L}\p{N}]", ""))
+
+
+def plain_forms(text: Column) -> Column:
+    """Full-width Latin letters and digits, typographic ligatures and the long s as plain letters, from the code charts."""
+    wide = "".join(chr(0xFEE0 + c) for c in range(0x21, 0x7F))
+    out = F.translate(text, wide + "\u017f\u3000", "".join(map(chr, range(0x21, 0x7F))) + "s ")
+    for code, letters in zip(range(0xFB00, 0xFB07), ("ff", "fi", "fl", "ffi", "ffl", "st", "st"), strict=True):
+        out = F.replace(out, F.lit(chr(code)), F.lit(letters))
+    return out
 
 
 def primary_by_title(candidates: DataFrame, wanted: DataFrame, years: bool = False) -> DataFrame:
@@ -97,7 +119,3 @@ def aliases_of_sources(sources: DataFrame) -> DataFrame:
     listed = F.array_append(F.coalesce("issns", F.array().cast("array<string>")), F.col("raw_issn_l"))
     return sources.where("effective_key IS NOT NULL").select("effective_key", F.explode(listed).alias("x")).select(valid_issn("x").alias("issn"), "effective_key").where("issn IS NOT NULL").distinct()
 
-
-def effective_from_raw(sources: DataFrame) -> DataFrame:
-    """Sources whose effective key is their own valid raw key."""
-    return sources.withColumn("effective_key", F.when(valid_issn("raw_issn_l").isNotNull(), issn_text(issn_key("raw_issn_l"))))

@@ -7,10 +7,15 @@ shares; one further step ``H p`` without teleport, scaled to 100, is the
 network share, and share over article share is the score per article
 (null where a journal has no articles, 0 where it is not cited).
 
-Two ways to solve, with equal results:
+Two ways to solve, with the same steps, the same stopping rule and equal results:
 
-* every cell in one Arrow group (NumPy, no shuffle per step), for cells whose edges fit a worker;
-* a DataFrame loop for larger cells: one aggregation of the edges per step, checkpointed every second step.
+* every cell in one Arrow group (NumPy, no shuffle per step), for cells whose edges fit a worker:
+  nodes are numbered in the JVM, an edge travels as two 32-bit numbers and a weight;
+* a DataFrame loop for larger cells: one aggregation of the edges per step, each step written.
+
+Both are closed against failure: a cell without article mass, without any
+citation flow, or that does not settle within ``MAX_STEPS`` with a residual of at most
+``RESIDUAL``, is an error and no score.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmesh.operators.graph import column_normalised
@@ -25,12 +31,36 @@ from quillmesh.sources.stages import durable
 
 DAMPING = 0.85
 STEP_TOLERANCE = 1e-14
+RESIDUAL = 1e-12
 MAX_STEPS = 10_000
-#: Edges of a cell that one worker can hold (about 24 bytes each in the solve).
+#: Edges of a cell that one worker holds: 16 bytes each as they arrive, about four times that in the solve.
 WORKER_EDGES = 20_000_000
 
 CELL = ["score_year", "universe", "treatment"]
-OUT = "score_year int, universe string, treatment string, issn_l string, share double, article_share double, per_article double, n_steps int"
+OUT = "score_year int, universe string, treatment string, issn_l string, share double, article_share double, per_article double, normalised double, defined boolean, n_steps int, residual double"
+
+
+def input_faults(counts: DataFrame, edges: DataFrame, states: DataFrame) -> DataFrame:
+    """(rule, n) of what makes scores meaningless: missing or repeated keys, negative counts, filtered above raw, an empty state."""
+    count_rules = {"count without key": "issn_l IS NULL OR score_year IS NULL", "negative article count": "a_raw < 0 OR a_filtered < 0", "filtered articles above raw": "a_filtered > a_raw"}
+    edge_rules = {"edge without key": "citing IS NULL OR cited IS NULL OR score_year IS NULL", "negative citation count": "n_raw < 0 OR n_filtered < 0", "filtered citations above raw": "n_filtered > n_raw"}
+
+    def broken(rows: DataFrame, rules: dict[str, str]) -> DataFrame:
+        one = rows.agg(*[F.count_if(F.coalesce(F.expr(v), F.lit(False))).alias(k) for k, v in rules.items()])
+        return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(k).alias("n")) for k in rules])).alias("x")).select("x.rule", "x.n")
+
+    def repeated(rows: DataFrame, keys: list[str], rule: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.count("*").alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n")).select(F.lit(rule).alias("rule"), "n")
+
+    years = counts.select("score_year", F.explode(F.array(F.lit("n"), F.lit("oa"))).alias("universe")).distinct()
+    empty = years.join(states.select("score_year", "universe").distinct(), ["score_year", "universe"], "left_anti").agg(F.count("*").alias("n")).select(F.lit("empty state").alias("rule"), "n")
+    return (
+        broken(counts, count_rules)
+        .unionByName(broken(edges, edge_rules))
+        .unionByName(repeated(counts, ["score_year", "issn_l"], "repeated count"))
+        .unionByName(repeated(edges, ["score_year", "citing", "cited"], "repeated edge"))
+        .unionByName(empty)
+    )
 
 
 def cells(states: DataFrame, edges: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -41,71 +71,98 @@ def cells(states: DataFrame, edges: DataFrame, counts: DataFrame) -> tuple[DataF
     return nodes, weighted
 
 
-def solve_arrays(n: int, citing: np.ndarray, cited: np.ndarray, weight: np.ndarray, articles: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(share, article share, steps) of one cell given node numbers."""
+def solve_arrays(n: int, citing: np.ndarray, cited: np.ndarray, weight: np.ndarray, articles: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, float]:
+    """(share, article share, steps, residual) of one cell given node numbers; raises where there is no solution to publish."""
+    total = articles.sum()
+    if not np.isfinite(total) or total <= 0 or (articles < 0).any():
+        raise ValueError("a cell has no article mass")
     out_weight = np.bincount(citing, weight, n)
     h = weight / out_weight[citing]
     dangling = out_weight == 0
-    a = articles / articles.sum() if articles.sum() > 0 else np.full(n, 1 / n)
-    p, steps = a.copy(), 0
-    while steps < MAX_STEPS:
-        steps += 1
-        new = DAMPING * np.bincount(cited, h * p[citing], n) + (DAMPING * p[dangling].sum() + 1 - DAMPING) * a
+    a = articles / total
+    following = lambda p: DAMPING * np.bincount(cited, h * p[citing], n) + (DAMPING * p[dangling].sum() + 1 - DAMPING) * a
+    p = a.copy()
+    for steps in range(1, MAX_STEPS + 1):
+        new = following(p)
         moved, p = np.abs(new - p).sum(), new
         if moved <= STEP_TOLERANCE:
             break
+    residual = float(np.abs(following(p) - p).sum())
+    if not residual <= RESIDUAL:
+        raise ValueError(f"a cell did not settle: residual {residual:.3e} after {steps} steps")
     flow = np.bincount(cited, h * p[citing], n)
-    return (100 * flow / flow.sum() if flow.sum() > 0 else flow), a, steps
+    if not flow.sum() > 0:
+        raise ValueError("no citation flows in a cell")
+    if abs(flow.sum() - (1 - p[dangling].sum())) > 1e-9:
+        raise ValueError("the transported mass is not that of the citing nodes")
+    return 100 * flow / flow.sum(), a, steps, residual
 
 
 def solve_in_workers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Scores of all cells, one cogroup per cell."""
+    # A cell's nodes fit a worker here, so numbering them is one window per cell.
+    numbered = durable(nodes.withColumn("at", F.row_number().over(W.partitionBy(*CELL).orderBy("issn_l")) - 1))
+    end = lambda side: numbered.select(*CELL, F.col("issn_l").alias(side), F.col("at").alias(f"{side}_at"))
+    # Own names on the edge side: nodes and edges often come from the same plan.
+    arcs = edges.join(end("citing"), [*CELL, "citing"]).join(end("cited"), [*CELL, "cited"]).select(*[F.col(c).alias(f"e_{c}") for c in CELL], "citing_at", "cited_at", "w")
 
     def one(key: tuple, v: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        v = v.sort_values("issn_l").reset_index(drop=True)
-        at = pd.Series(np.arange(len(v)), v["issn_l"])
-        share, a, steps = solve_arrays(len(v), at.loc[e["citing"]].to_numpy(), at.loc[e["cited"]].to_numpy(), e["w"].to_numpy(float), v["articles"].to_numpy(float))
+        v = v.sort_values("at").reset_index(drop=True)
+        share, a, steps, residual = solve_arrays(len(v), e["citing_at"].to_numpy(), e["cited_at"].to_numpy(), e["w"].to_numpy(float), v["articles"].to_numpy(float))
+        defined = v["articles"].to_numpy(float) > 0
         with np.errstate(divide="ignore", invalid="ignore"):
-            per_article = np.where(v["articles"] > 0, share / 100 / a, np.nan)
-        frame = pd.DataFrame({"issn_l": v["issn_l"], "share": share, "article_share": a, "per_article": per_article})
-        return frame.assign(score_year=key[0], universe=key[1], treatment=key[2], n_steps=steps)[["score_year", "universe", "treatment", "issn_l", "share", "article_share", "per_article", "n_steps"]]
+            per_article = np.where(defined, share / 100 / a, np.nan)
+        frame = pd.DataFrame({"issn_l": v["issn_l"], "share": share, "article_share": a, "per_article": per_article, "normalised": share * len(v) / 100, "defined": defined})
+        return frame.assign(score_year=key[0], universe=key[1], treatment=key[2], n_steps=steps, residual=residual)[[c.split()[0] for c in OUT.split(", ")]]
 
-    # Own names on the edge side: nodes and edges often come from the same plan.
-    arcs = edges.select(*[F.col(c).alias(f"e_{c}") for c in CELL], "citing", "cited", "w")
-    solved = nodes.groupBy(*CELL).cogroup(arcs.groupBy(*[f"e_{c}" for c in CELL])).applyInPandas(one, OUT)
-    return solved.withColumn("per_article", F.when(F.isnan("per_article"), F.lit(None).cast("double")).otherwise(F.col("per_article")))
+    solved = numbered.groupBy(*CELL).cogroup(arcs.groupBy(*[f"e_{c}" for c in CELL])).applyInPandas(one, OUT)
+    return solved.withColumn("per_article", F.when(F.col("defined"), F.col("per_article")))
 
 
-def solve_in_frames(nodes: DataFrame, edges: DataFrame, tolerance: float = STEP_TOLERANCE, every: int = 2) -> DataFrame:
-    """The same scores by a loop of aggregations; the only value that reaches the driver is the largest step of a cell.
+def solve_in_frames(nodes: DataFrame, edges: DataFrame, tolerance: float = STEP_TOLERANCE) -> DataFrame:
+    """The same scores by a loop of aggregations; per step one row for each open cell reaches the driver.
 
-    Each step reads the vector twice, so a plan of k unwritten steps has 2**k copies of it: write every second one.
+    A cell keeps the vector of the step at which it settled, as in a worker, while others go on.
     """
     total = nodes.groupBy(*CELL).agg(F.sum("articles").alias("all_articles"), F.count("*").alias("n"))
-    base = durable(nodes.join(total, CELL).select(*CELL, "issn_l", "articles", F.when(F.col("all_articles") > 0, F.col("articles") / F.col("all_articles")).otherwise(1 / F.col("n")).alias("a")))
+    if not total.where("NOT coalesce(all_articles > 0, false)").isEmpty():
+        raise ValueError("a cell has no article mass")
     h = durable(column_normalised(edges, CELL).select(*CELL, "citing", "cited", "h").repartition(*CELL, "citing"))
-    senders = h.select(*CELL, F.col("citing").alias("issn_l")).distinct()
-    base = durable(base.join(senders.withColumn("sends", F.lit(True)), [*CELL, "issn_l"], "left").withColumn("dangling", F.col("sends").isNull()).drop("sends"))
+    senders = h.select(*CELL, F.col("citing").alias("issn_l"), F.lit(True).alias("sends")).distinct()
+    shared = nodes.join(total, CELL).select(*CELL, "issn_l", "articles", "n", (F.col("articles") / F.col("all_articles")).alias("a"))
+    base = durable(shared.join(senders, [*CELL, "issn_l"], "left").withColumn("dangling", F.col("sends").isNull()).drop("sends"))
 
     def flow(p: DataFrame) -> DataFrame:
         return h.join(p.select(*CELL, F.col("issn_l").alias("citing"), "p"), [*CELL, "citing"]).groupBy(*CELL, F.col("cited").alias("issn_l")).agg(F.sum(F.col("h") * F.col("p")).alias("flow"))
 
-    p, steps = base.withColumn("p", F.col("a")), 0
+    def following(p: DataFrame) -> DataFrame:
+        """p with ``q``, the vector one step on."""
+        lost = p.groupBy(*CELL).agg(F.sum(F.when(F.col("dangling"), F.col("p")).otherwise(0.0)).alias("lost"))
+        stepped = DAMPING * F.coalesce("flow", F.lit(0.0)) + (DAMPING * F.col("lost") + 1 - DAMPING) * F.col("a")
+        return p.join(flow(p), [*CELL, "issn_l"], "left").join(lost, CELL).select(*p.columns, stepped.alias("q"), "flow")
+
+    gap = lambda p: p.groupBy(*CELL).agg(F.sum(F.abs(F.col("q") - F.col("p"))).alias("gap"))
+    p, steps, settled, n_cells = base.withColumns({"p": F.col("a"), "n_steps": F.lit(0)}), 0, set(), total.count()
     while steps < MAX_STEPS:
-        start = p
-        for _ in range(every):
-            steps += 1
-            lost = p.groupBy(*CELL).agg(F.sum(F.when(F.col("dangling"), F.col("p")).otherwise(0.0)).alias("lost"))
-            new = base.join(flow(p), [*CELL, "issn_l"], "left").join(lost, CELL)
-            before, p = p, new.select(*CELL, "issn_l", "articles", "a", "dangling", (DAMPING * F.coalesce("flow", F.lit(0.0)) + (DAMPING * F.col("lost") + 1 - DAMPING) * F.col("a")).alias("p"))
-        p = durable(p)
-        gap = p.join(start.select(*CELL, "issn_l", F.col("p").alias("q")), [*CELL, "issn_l"]).groupBy(*CELL).agg(F.sum(F.abs(F.col("p") - F.col("q"))).alias("gap")).agg(F.max("gap")).first()[0]
-        if gap is None or gap <= tolerance:
+        steps += 1
+        both = durable(following(p).drop("flow"))
+        # Cells that have settled stay as they are; their number is that of years, universes and treatments.
+        closed = {tuple(r[:3]) for r in gap(both).where(F.col("gap") <= tolerance).collect()}
+        frozen = F.concat_ws("|", *[F.col(c).cast("string") for c in CELL]).isin([f"{y}|{u}|{t}" for y, u, t in settled]) if settled else F.lit(False)
+        p = both.select(*[c for c in both.columns if c not in ("p", "q", "n_steps")], F.when(frozen, F.col("p")).otherwise(F.col("q")).alias("p"), F.when(frozen, F.col("n_steps")).otherwise(F.lit(steps)).alias("n_steps"))
+        settled |= closed
+        if len(settled) >= n_cells:
             break
-    moved = base.join(flow(p), [*CELL, "issn_l"], "left").fillna(0.0, ["flow"])
-    scale = moved.groupBy(*CELL).agg(F.sum("flow").alias("all_flow"))
-    share = F.coalesce(100 * F.col("flow") / F.nullif(F.col("all_flow"), F.lit(0.0)), F.lit(0.0))
-    return moved.join(scale, CELL).select(*CELL, "issn_l", share.alias("share"), F.col("a").alias("article_share"), F.when(F.col("articles") > 0, share / 100 / F.col("a")).alias("per_article"), F.lit(steps).alias("n_steps"))
+    last = durable(following(p))
+    residual = gap(last).withColumnRenamed("gap", "residual")
+    if not residual.where(~(F.col("residual") <= max(RESIDUAL, 10 * tolerance))).isEmpty():
+        raise ValueError(f"a cell did not settle within {steps} steps")
+    scale = last.groupBy(*CELL).agg(F.sum("flow").alias("all_flow"))
+    if not scale.where("NOT coalesce(all_flow > 0, false)").isEmpty():
+        raise ValueError("no citation flows in a cell")
+    share, defined = 100 * F.coalesce("flow", F.lit(0.0)) / F.col("all_flow"), F.col("articles") > 0
+    out = last.join(scale, CELL).join(residual, CELL)
+    return out.select(*CELL, "issn_l", share.alias("share"), F.col("a").alias("article_share"), F.when(defined, share / 100 / F.col("a")).alias("per_article"), (share * F.col("n") / 100).alias("normalised"), defined.alias("defined"), "n_steps", "residual")
 
 
 def network_scores(nodes: DataFrame, edges: DataFrame, worker_edges: int = WORKER_EDGES) -> DataFrame:
@@ -120,7 +177,8 @@ def score_audit(scores: DataFrame, edges: DataFrame) -> DataFrame:
         F.count("*").alias("n_nodes"),
         F.round(F.sum("share"), 6).alias("share_sum"),
         F.round(F.sum(F.col("article_share") * F.coalesce("per_article", F.lit(0.0))), 6).alias("mean_per_article"),
-        F.count_if(F.col("per_article").isNull()).alias("n_undefined"),
+        F.count_if(~F.col("defined")).alias("n_undefined"),
+        F.round(F.max("residual"), 9).alias("residual"),
         F.bit_xor(F.conv(F.substring(F.md5("issn_l"), 1, 15), 16, 10).cast("long")).alias("state_digest"),
     )
     weight = edges.groupBy(*CELL).agg(F.count("*").alias("n_edges"), F.sum("w").cast("long").alias("edge_weight"))

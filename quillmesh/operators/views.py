@@ -5,12 +5,14 @@ Display filters choose what is seen; ranks are computed before and never change.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.operators.ranks import Selection
 
-SEARCHED = ["journal_id", "title", "issns", "publisher", "domain", "field"]
+SEARCHED = ["journal_id", "title", "issns", "publisher", "domain", "field", "register_area", "register_field"]
 PAGE = 25
 
 
@@ -23,18 +25,26 @@ def _matches(s: Selection) -> Column:
     return F.contains(search_text(), F.lit(q)) if q else F.lit(True)
 
 
-def in_view(s: Selection) -> Column:
+def has_ratio(columns: list[str]) -> Column:
+    """True if any ratio score of a row is a number."""
+    numbers = [F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False)) for c in columns if c.startswith("ratio") and c.rpartition("_")[2] in ("raw", "filtered")]
+    return reduce(lambda a, b: a | b, numbers, F.lit(False))
+
+
+def in_view(s: Selection, columns: list[str]) -> Column:
+    """Members of the universe; under ratio metrics only those with any ratio score."""
     member = F.coalesce(f"in_{s.universe}", F.lit(False))
-    return member & F.col("score").isNotNull() if not s.has_history_rule else member
+    return member if s.has_history_rule else member & has_ratio(columns)
 
 
 def _percentile(s: Selection) -> Column | None:
-    return {"field": F.col("field_pct"), "total": F.col("pool_pct"), "both": F.col("field_pct")}.get(s.percentile)
+    """The percentile that a shown row must have: the total one whenever it is among those shown."""
+    return {"field": F.col("field_pct"), "total": F.col("pool_pct"), "both": F.col("pool_pct")}.get(s.percentile)
 
 
 def visible(ranked: DataFrame, s: Selection) -> DataFrame:
     """Rows that the selection shows."""
-    test = in_view(s) & _matches(s)
+    test = in_view(s, ranked.columns) & _matches(s)
     if s.fields:
         test = test & F.col("field").isin(*s.fields)
     if s.open_only:
@@ -58,10 +68,10 @@ def sorted_page(rows: DataFrame, s: Selection, by: list[str] | None = None) -> D
 
 
 def hidden_matches(ranked: DataFrame, s: Selection) -> DataFrame:
-    """Rows that match the search but are not shown, with every reason; none without a search."""
+    """Rows that match the search but are not shown, with every reason; none without a search, and under ratio metrics none without a ratio score."""
     if not s.query.strip():
         return ranked.where(F.lit(False)).select("score_year", "journal_id", "title", F.lit("").alias("reasons"))
-    seen = in_view(s)
+    seen = in_view(s, ranked.columns)
     reasons = [F.when(~seen, "universe")]
     if s.pool_only and (p := _percentile(s)) is not None:
         reasons.append(F.when(seen & p.isNull(), "percentiles"))
@@ -70,7 +80,8 @@ def hidden_matches(ranked: DataFrame, s: Selection) -> DataFrame:
     if s.open_only:
         reasons.append(F.when(~F.coalesce("is_open_access", F.lit(False)), "access"))
     given = F.filter(F.array(*reasons), lambda x: x.isNotNull())
-    return ranked.where(_matches(s)).withColumn("given", given).where(F.size("given") > 0).select("score_year", "journal_id", "title", F.array_join("given", ",").alias("reasons"))
+    known = F.lit(True) if s.has_history_rule else has_ratio(ranked.columns)
+    return ranked.where(_matches(s) & known).withColumn("given", given).where(F.size("given") > 0).select("score_year", "journal_id", "title", F.array_join("given", ",").alias("reasons"))
 
 
 def guarded_text(value: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,43 +40,35 @@ def latest_with_ties(spark, d):
 
 @query
 def works_filter_project(spark, d):
-    w = graph.eligible_works(base.works(spark, d), 2016, 2025)
-    return w.select("work_id", "raw_issn_l", "year", F.col("work_type").isin(graph.CITED_TYPES).alias("is_citable"), "has_refs", "field", F.when(F.col("year").isin(base.SCORE_YEARS), F.size("refs")).cast("long").alias("n_refs"))
+    w = base.eligible_works(spark, d)
+    return w.select("work_id", "raw_issn_l", "year", F.col("work_type").isin(graph.CITED_TYPES).alias("is_citable"), "has_refs", "field", F.when(F.col("refs").isNotNull(), F.size("refs")).cast("long").alias("n_refs"))
 
 
 @query
 def yearly_counts(spark, d):
-    return graph.yearly_counts(graph.eligible_works(base.works(spark, d), 2016, 2025))
+    return graph.yearly_counts(base.eligible_works(spark, d))
 
 
 @query
 def window_counts(spark, d):
-    return graph.window_counts(yearly_counts(spark, d), base.SCORE_YEARS)
+    return graph.window_counts(yearly_counts(spark, d), base.score_years(spark, d))
 
 
 @query
 def citation_edges(spark, d):
-    w = graph.eligible_works(base.works(spark, d), 2016, 2025)
-    citing = w.where(F.col("has_refs") & F.col("year").isin(base.SCORE_YEARS))
+    w = base.eligible_works(spark, d)
+    citing = w.where(F.col("has_refs") & F.col("refs").isNotNull())
     return graph.citation_edges(citing.select("work_id", "year", "source_id", "raw_issn_l", "refs"), w.where(F.col("work_type").isin(graph.CITED_TYPES)))
 
 
 def _ledger(spark, d) -> tuple[DataFrame, DataFrame]:
     """Work overrides from approved decisions (works of a member go to the canonical source) and exclusions of retracted works."""
-    decided = _decisions(spark, d).where("member <> chosen").select(F.col("member").alias("expected_source_id"), F.col("chosen").alias("target_source_id"), F.col("component").alias("expected_raw_issn_l"))
+    decided = base.decisions(spark, d).where("member <> chosen").select(F.col("member").alias("expected_source_id"), F.col("chosen").alias("target_source_id"), F.col("component").alias("expected_raw_issn_l"))
     w = base.works(spark, d).select("work_id", "source_id", "is_retracted")
     overrides = w.join(decided, F.col("source_id") == F.col("expected_source_id")).select("work_id", "expected_source_id", "expected_raw_issn_l", "target_source_id")
     return overrides, w.where("is_retracted").select("work_id")
 
 
-def _decisions(spark, d) -> DataFrame:
-    """(component, member, chosen) of approved decisions; the smallest choice where reviews differ."""
-    reviewed = table(spark, d, "reviewed_representative").where(F.lower(blank_to_null("review_status")).startswith("approved"))
-    rows = reviewed.select(issn_text("issn_l").alias("component"), entity_id("canonical_source_id", "S").alias("chosen"), F.explode("expected_component_source_ids").alias("m"))
-    rows = rows.select("component", entity_id("m", "S").alias("member"), "chosen").where("member IS NOT NULL AND chosen IS NOT NULL AND component IS NOT NULL")
-    return rows.groupBy("member").agg(F.min("component").alias("component"), F.min("chosen").alias("chosen"))
-
-
 @query
 def ledger_patch_exclude(spark, d):
     overrides, excluded = _ledger(spark, d)
@@ -91,7 +84,7 @@ def preimage_audit(spark, d):
 
 @query
 def field_votes(spark, d):
-    w = graph.eligible_works(base.works(spark, d), 2016, 2025).where(F.col("work_type").isin(graph.CITED_TYPES))
+    w = base.eligible_works(spark, d).where(F.col("work_type").isin(graph.CITED_TYPES))
     return w.groupBy("raw_issn_l", "field").agg(F.count("*").alias("votes"))
 
 
@@ -112,32 +105,23 @@ def row_fingerprints(spark, d):
 # --- identity -------------------------------------------------------------------------------------------------
 
 
-def _identity_tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    src = base.newest_sources(spark, d)
-    overrides = _decisions(spark, d).join(src.select(F.col("source_id").alias("member"), "raw_key"), "member").select(F.col("member").alias("source_id"), F.col("raw_key").alias("expected_key"), F.col("component").alias("target"))
-    other = register.aliases_of_sources(src).where("issn <> regexp_replace(effective_key, '-', '')")
-    aliases = other.groupBy(issn_text("issn").alias("alias")).agg(F.count_distinct("effective_key").alias("n"), F.min("effective_key").alias("target")).where("n = 1").select("alias", "target")
-    corrections = table(spark, d, "reviewed_representative").where(F.lower(blank_to_null("review_status")) == "rejected").select(issn_text("issn_l").alias("key"), issn_text("issn_l").alias("target")).where("key IS NOT NULL").distinct()
-    return overrides, aliases, corrections
-
-
 @query
 def identity_projection(spark, d):
-    out = identity.project_keys(base.newest_sources(spark, d).drop("effective_key"), "source_id", "raw_key", *_identity_tables(spark, d))
+    out = identity.project_keys(base.newest_sources(spark, d).drop("effective_key"), "source_id", "raw_key", *base.identity_tables(spark, d))
     return out.select("source_id", "raw_key", "effective_key", "projected_by")
 
 
 @query
 def identity_quarantine(spark, d):
     w = base.works(spark, d).where("source_id IS NOT NULL").withColumn("works", F.lit(1))
-    out = identity.project_keys(w, "source_id", "raw_issn_l", *_identity_tables(spark, d))
+    out = identity.project_keys(w, "source_id", "raw_issn_l", *base.identity_tables(spark, d))
     return identity.quarantine(out, "raw_issn_l", ["works"])
 
 
 @query
 def projected_counts(spark, d):
     """Publication counts under effective keys; aliased keys add up."""
-    out = identity.project_keys(window_counts(spark, d), "source_id", "raw_issn_l", *_identity_tables(spark, d))
+    out = identity.project_keys(window_counts(spark, d), "source_id", "raw_issn_l", *base.identity_tables(spark, d))
     return out.where("effective_key IS NOT NULL").groupBy("score_year", F.col("effective_key").alias("issn_l")).agg(F.sum("a_raw").alias("a_raw"), F.sum("a_filtered").alias("a_filtered"))
 
 
@@ -149,15 +133,27 @@ def null_safe_identity(spark, d):
     return mapped.groupBy("journal_id").agg(F.count("*").alias("n_works"))
 
 
+@query
+def projected_edges(spark, d):
+    """Citations between effective keys; an end without a valid key is null: the edge is in quarantine."""
+    return identity.project_edges(citation_edges(spark, d), *base.identity_tables(spark, d))
+
+
+@query
+def projection_conservation(spark, d):
+    """What went into the projection of edges is what came out under keys and what is in quarantine."""
+    before = citation_edges(spark, d).groupBy("score_year").agg(F.sum("n_raw").alias("input_n_raw"), F.sum("n_filtered").alias("input_n_filtered"))
+    return before.join(identity.edge_conservation(projected_edges(spark, d)), "score_year")
+
+
 @query
 def attribute_consensus(spark, d):
-    projected = identity.project_keys(base.newest_sources(spark, d).drop("effective_key"), "source_id", "raw_key", *_identity_tables(spark, d))
-    return identity.effective_sources(projected, ["title", "publisher", "oa_field", "oa_domain", "is_open_access"])
+    return base.attributes(spark, d)
 
 
 @query
 def representative_arms(spark, d):
-    decided = _decisions(spark, d).select(F.col("member").alias("source_id"), "chosen")
+    decided = base.decisions(spark, d).select(F.col("member").alias("source_id"), "chosen")
     out = identity.suppress_arms(base.newest_sources(spark, d).select("source_id", "effective_key"), decided)
     return out.select("source_id", "effective_key", "shown")
 
@@ -200,7 +196,7 @@ def register_group(spark, d):
 @query
 def register_entries(spark, d):
     titles = table(spark, d, "norwegian_membership").select("score_year", blank_to_null("journal_id").alias("journal_id"), blank_to_null("international_title").alias("title"), "print_issn", "online_issn")
-    return register.display_entries(base.matched_register(spark, d), titles).select("score_year", "issn_l", "n_entries", F.length("entries_json").cast("long").alias("json_chars"))
+    return register.display_entries(base.matched_register(spark, d), titles)
 
 
 @query
@@ -265,7 +261,7 @@ def recorded_citations(spark, d):
 
 @query
 def active_years(spark, d):
-    return graph.active_years(base.counts(spark, d))
+    return graph.active_years(yearly_counts(spark, d), base.score_years(spark, d))
 
 
 @query
@@ -292,7 +288,14 @@ def _scores(spark, d):
 
 @query
 def network_scores(spark, d):
-    return _scores(spark, d).select(*scores.CELL, "issn_l", F.round("share", 8).alias("share"), F.round("per_article", 7).alias("per_article"))
+    return _scores(spark, d).select(*scores.CELL, "issn_l", F.round("share", 8).alias("share"), F.round("per_article", 7).alias("per_article"), F.round("normalised", 7).alias("normalised"), "defined")
+
+
+@query
+def score_input_faults(spark, d):
+    """What would make scores meaningless, rule by rule; a publication requires that every number is 0."""
+    s, e, c = _graph(spark, d)
+    return scores.input_faults(c, e, s)
 
 
 @query
@@ -312,7 +315,7 @@ def annual_table(spark, d):
     parts = _graph(spark, d)
     jy = base.journal_years(spark, d).select("score_year", "journal_id", "title", "in_n", "in_oa", "works_raw", "works_filtered", "citations", "active_years")
     solved = scores.network_scores(*_cells(spark, d, parts))
-    out = publish.annual_table(jy, solved, graph.used_citations(parts[1], parts[0]), fields.modal_field(_votes(spark, d), ["issn_l"]), register.grouped_members(base.matched_register(spark, d)))
+    out = publish.annual_table(jy, solved, graph.used_citations(parts[1], parts[0]), fields.modal_field(_votes(spark, d), VOTES_BY), register.grouped_members(base.matched_register(spark, d)))
     return out.withColumns({c: F.round(c, 7) for c in out.columns if c.startswith(("share_", "per_article_"))})
 
 
@@ -328,12 +331,9 @@ def closed_share(spark, d):
 
 # --- ratios ---------------------------------------------------------------------------------------------------
 
-CITATION_YEARS = [2023, 2024, 2025]
-
-
 def _ratio_parts(spark, d, window, aliases=None):
     t, c = base.targets(spark, d).where("journal_id IS NOT NULL"), base.citing(spark, d)
-    return ratio.item_components(ratio.canonical_works(t, aliases), CITATION_YEARS, window), ratio.citation_components(t, c, window, aliases)
+    return ratio.item_components(ratio.canonical_works(t, aliases), base.citation_years(spark, d), window), ratio.citation_components(t, c, window, aliases)
 
 
 @query
@@ -392,7 +392,7 @@ def ratio_companion(spark, d):
 
 @query
 def reporting_population(spark, d):
-    existing = base.journal_years(spark, d).select(F.col("score_year").alias("citation_year"), "journal_id").where(F.col("citation_year").isin(CITATION_YEARS))
+    existing = base.journal_years(spark, d).select(F.col("score_year").alias("citation_year"), "journal_id").where(F.col("citation_year").isin(base.citation_years(spark, d)))
     eligible = _policy_counts(spark, d, 2).where("policy = 'AR' AND d_raw > 0").select("citation_year", "journal_id")
     return ratio.reporting_population(existing, eligible, ["citation_year", "journal_id"])
 
@@ -400,62 +400,100 @@ def reporting_population(spark, d):
 # --- fields ---------------------------------------------------------------------------------------------------
 
 
+#: Fields are voted for by score year and effective key.
+VOTES_BY = ["score_year", "issn_l"]
+
+
 def _votes(spark, d):
-    return field_votes(spark, d).withColumnRenamed("raw_issn_l", "issn_l")
+    """(score_year, issn_l, field, votes) of citable works in the window before each score year, under effective keys."""
+    years = base.score_years(spark, d)
+    w = base.eligible_works(spark, d, years).where(F.col("work_type").isin(graph.CITED_TYPES))
+    yearly = w.groupBy("source_id", "raw_issn_l", "field", "year").agg(F.count("*").alias("n"))
+    keyed = identity.project_keys(yearly, "source_id", "raw_issn_l", *base.identity_tables(spark, d)).where("effective_key IS NOT NULL")
+    served = F.filter(F.sequence(F.col("year") + 1, F.col("year") + graph.WINDOW), lambda y: y.isin(years))
+    return keyed.select(F.explode(served).alias("score_year"), F.col("effective_key").alias("issn_l"), "field", "n").groupBy(*VOTES_BY, "field").agg(F.sum("n").alias("votes"))
 
 
 @query
 def field_modal(spark, d):
-    return fields.modal_field(_votes(spark, d), ["issn_l"]).withColumns({"modal_share": F.round("modal_share", 9), "coverage": F.round("coverage", 9)})
+    return fields.modal_field(_votes(spark, d), VOTES_BY).withColumns({"modal_share": F.round("modal_share", 9), "coverage": F.round("coverage", 9)})
 
 
 @query
 def field_top3(spark, d):
-    return fields.top_fields(_votes(spark, d), ["issn_l"])
+    return fields.top_fields(_votes(spark, d), VOTES_BY)
 
 
 @query
 def field_shares(spark, d):
-    return fields.field_shares(fields.top_fields(_votes(spark, d), ["issn_l"]), ["issn_l"])
+    return fields.field_shares(fields.top_fields(_votes(spark, d), VOTES_BY), VOTES_BY)
 
 
 @query
 def field_labels(spark, d):
-    m = fields.modal_field(_votes(spark, d), ["issn_l"])
-    return m.select("issn_l", fields.field_label(F.col("field"), F.round("modal_share", 6)).alias("label"))
+    m = fields.modal_field(_votes(spark, d), VOTES_BY)
+    return m.select(*VOTES_BY, fields.field_label(F.col("field"), F.round("modal_share", 6)).alias("label"))
 
 
 # --- ranks and views ------------------------------------------------------------------------------------------
 
-SELECTION = ranks.Selection(min_coverage=10, min_years=2, top_percent=75)
-SEARCH = ranks.Selection(min_coverage=10, min_years=2, top_percent=75, query="journal of", sort_key="field_pct", pool_only=True)
+SELECTION = ranks.Selection(metric="ratio2", min_coverage=10, top_percent=75)
+SEARCH = replace(SELECTION, query="journal of", sort_key="field_pct")
+NETWORK = ranks.Selection(metric="per_article", min_coverage=10, min_years=1, top_percent=75)
+
+
+def _ratio_columns(spark, d, window):
+    """(score_year, journal_id, ratio<window>_raw, ratio<window>_filtered) under the main policy."""
+    out = ratio.annual_ratio(_policy_counts(spark, d, window), "AR", window)
+    return out.select(F.col("citation_year").alias("score_year"), "journal_id", F.col("score_raw").alias(f"ratio{window}_raw"), F.col("score_ref").alias(f"ratio{window}_filtered"))
+
+
+def _ratio_years(spark, d, year=None):
+    """Journal years with the ratio scores of both windows; one year only, where one is wanted."""
+    jy = base.journal_years(spark, d)
+    jy = jy if year is None else jy.where(F.col("score_year") == year)
+    return jy.join(_ratio_columns(spark, d, 2), ranks.YEAR_AND_ID, "left").join(_ratio_columns(spark, d, 5), ranks.YEAR_AND_ID, "left")
+
+
+def _network_years(spark, d):
+    """Journal years with network scores."""
+    wide = publish.wide_scores(_scores(spark, d)).withColumnRenamed("issn_l", "journal_id")
+    return base.journal_years(spark, d).join(wide, ranks.YEAR_AND_ID, "left")
 
 
 @query
 def journal_years(spark, d):
-    jy = base.journal_years(spark, d)
-    return jy.withColumns({"coverage": F.round("coverage", 9), "score": F.round("score", 9)})
+    return base.journal_years(spark, d).withColumn("coverage", F.round("coverage", 9))
 
 
 @query
 def eligibility_reasons(spark, d):
-    jy = base.journal_years(spark, d).withColumn("reason", F.coalesce(ranks.exclusion_reason(SELECTION), F.lit("eligible")))
+    jy = _ratio_years(spark, d).withColumn("score", ranks.score_column(SELECTION)).withColumn("reason", F.coalesce(ranks.exclusion_reason(SELECTION), F.lit("eligible")))
     return jy.groupBy("score_year", "reason").agg(F.count("*").alias("n_journals"))
 
 
 @query
 def ecdf_percentiles(spark, d):
-    rows = base.journal_years(spark, d).where("score IS NOT NULL").select("score_year", "journal_id", "score")
-    return ranks.ecdf(rows, ["score_year"], "score", "pct").select("score_year", "journal_id", F.round("pct", 9).alias("pct"), F.col("pct_of").alias("n"))
+    rows = _ratio_columns(spark, d, 5).where("ratio5_raw IS NOT NULL")
+    return ranks.ecdf(rows, ["score_year"], "ratio5_raw", "pct").select("score_year", "journal_id", F.round("pct", 9).alias("pct"), F.col("pct_of").alias("n"))
+
+
+def _ranked(spark, d, year=None):
+    return ranks.two_stage(_ratio_years(spark, d, year), SELECTION)
 
 
-def _ranked(spark, d):
-    return ranks.two_stage(base.journal_years(spark, d), SELECTION)
+def _rank_columns(ranked):
+    return ranked.select("score_year", "journal_id", "reason", F.round("field_pct", 9).alias("field_pct"), F.round("pool_pct", 9).alias("pool_pct"), "field_count")
 
 
 @query
 def rank_two_stage(spark, d):
-    return _ranked(spark, d).select("score_year", "journal_id", "reason", F.round("field_pct", 9).alias("field_pct"), F.round("pool_pct", 9).alias("pool_pct"), "field_count")
+    return _rank_columns(_ranked(spark, d))
+
+
+@query
+def rank_network(spark, d):
+    return _rank_columns(ranks.two_stage(_network_years(spark, d), NETWORK))
 
 
 @query
@@ -471,7 +509,9 @@ def rank_summary(spark, d):
 
 @query
 def view_page(spark, d):
-    rows = views.visible(_ranked(spark, d).where("score_year = 2025"), SELECTION)
+    """The first page of the last score year."""
+    year = max(base.score_years(spark, d), default=None)
+    rows = views.visible(_ranked(spark, d, year), SELECTION)
     return views.sorted_page(rows, SELECTION).select("journal_id", "title", F.round("score", 9).alias("score"), F.round("field_pct", 9).alias("field_pct"))
 
 
@@ -480,6 +520,28 @@ def view_search(spark, d):
     return views.visible(_ranked(spark, d), SEARCH).select("score_year", "journal_id", "title", F.round("field_pct", 9).alias("field_pct"))
 
 
+def _shown(spark, d, percentile):
+    return views.visible(_ranked(spark, d), replace(SELECTION, percentile=percentile)).groupBy("score_year").agg(F.count("*").alias("n_journals"), F.min("journal_id").alias("first_id"), F.max("journal_id").alias("last_id"))
+
+
+@query
+def view_total(spark, d):
+    """What is shown where the total percentile is asked for."""
+    return _shown(spark, d, "total")
+
+
+@query
+def view_both(spark, d):
+    """Where both percentiles are asked for, the total one decides as well."""
+    return _shown(spark, d, "both")
+
+
+@query
+def view_unranked(spark, d):
+    """Without a percentile every member with a ratio score is shown."""
+    return _shown(spark, d, "none")
+
+
 @query
 def hidden_matches(spark, d):
     return views.hidden_matches(_ranked(spark, d), SEARCH)
@@ -518,12 +580,20 @@ def rank_sidecar(spark, d):
     return out.withColumns({c: F.round(c, 9) for c in ("score", "field_pct", "pool_pct")})
 
 
+def _deliveries(spark, d):
+    """(first, last) delivered counts of every journal year."""
+    rows = table(spark, d, "effective_counts").select("score_year", issn_text("issn_l").alias("journal_id"), "a_raw", "a_filtered", "loaded_at").where("journal_id IS NOT NULL AND score_year IS NOT NULL")
+    first = versions.latest_version(rows, ranks.YEAR_AND_ID, [F.asc_nulls_last("loaded_at"), F.desc_nulls_last("a_raw"), F.desc_nulls_last("a_filtered")])
+    last = versions.latest_version(rows, ranks.YEAR_AND_ID, [F.desc_nulls_last("loaded_at"), F.desc_nulls_last("a_raw"), F.desc_nulls_last("a_filtered")])
+    return first.drop("loaded_at"), last.drop("loaded_at")
+
+
 @query
 def frozen_or_live(spark, d):
-    jy = base.journal_years(spark, d).select("score_year", "journal_id", "works_raw")
-    runs = {"2024-final": jy.where("works_raw > 20"), "current": jy}
-    out = publish.frozen_or_live(runs, {2022: "2024-final", 2023: "2024-final"}, "current")
-    return out.groupBy("score_year", "run", "state").agg(F.count("*").alias("n_rows"))
+    """Years before the last are pinned to the counts as first delivered, the last one is live."""
+    first, last = _deliveries(spark, d)
+    out = publish.frozen_or_live({"first": first, "last": last}, {y: "first" for y in base.score_years(spark, d)[:-1]}, "last")
+    return out.groupBy("score_year", "run", "state").agg(F.count("*").alias("n_rows"), F.sum("a_raw").alias("a_raw"))
 
 
 @query
@@ -540,7 +610,15 @@ def conservation(spark, d):
 
 @query
 def annual_differences(spark, d):
-    """The annual table against itself with withdrawn journals and a changed count: only those keys come out."""
-    jy = base.journal_years(spark, d).select("score_year", "journal_id", "works_raw", "score")
-    other = jy.where("works_raw <> 7").withColumn("works_raw", F.when(F.col("works_raw") == 11, 12).otherwise(F.col("works_raw")))
-    return publish.differences(jy, other, ["works_raw", "score"])
+    """Delivered counts against those that the works give: journal years of one side only, and counts that differ."""
+    delivered = base.counts(spark, d).withColumnRenamed("issn_l", "journal_id")
+    return publish.differences(delivered, projected_counts(spark, d).withColumnRenamed("issn_l", "journal_id"), ["a_raw", "a_filtered"])
+
+
+@query
+def handover_violations(spark, d):
+    """Rules that a published annual table must keep, each with the number of rows that break it."""
+    jy = base.journal_years(spark, d)
+    solved = durable(_scores(spark, d))
+    frame = publish.handover_frame(jy, solved, register.grouped_members(base.matched_register(spark, d)))
+    return publish.handover_violations(frame, solved, base.universes(spark, d).where("universe = 'n'").select("score_year", F.col("issn_l").alias("journal_id")))

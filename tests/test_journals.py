@@ -3,6 +3,7 @@
 import itertools
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,9 +41,26 @@ def test_citation_edges_count_distinct_references_within_the_window(spark, rows)
 def test_window_counts_and_active_years(spark, rows):
     yearly = spark.createDataFrame([("S", "K", 2017, 3, 1), ("S", "K", 2021, 2, 2), ("S", "K", 2022, 7, 0)], "source_id string, raw_issn_l string, year int, a_raw long, a_filtered long")
     assert rows(graph.window_counts(yearly, [2022, 2023])) == [(2022, "S", "K", 5, 3), (2023, "S", "K", 9, 2)]
-    counts = spark.createDataFrame([(2021, "K", 3), (2022, "K", 0), (2023, "K", 1)], "score_year int, issn_l string, a_raw long")
-    got = {r.score_year: r.active_years for r in graph.active_years(counts).collect()}
-    assert got[2021] == 1 and got[2022] == 1 and got[2023] == 2 and got[2027] == 1
+    got = {r.score_year: r.active_years for r in graph.active_years(yearly.unionByName(yearly.replace("S", "T")), [2022, 2023, 2026, 2028]).collect()}
+    assert got == {2022: 2, 2023: 2, 2026: 2}
+
+
+def test_a_work_whose_newest_record_is_paratext_keeps_the_one_before(spark, tmp_path):
+    place = "struct<source: struct<id: string, issn_l: string, type: string, display_name: string>, raw_source_name: string, landing_page_url: string, provenance: string>"
+    schema = f"record_id long, id string, primary_location {place}, publication_year int, type string, referenced_works_count int, referenced_works array<string>, updated_date string, is_paratext boolean, is_retracted boolean, primary_topic struct<field: struct<display_name: string>, domain: struct<display_name: string>>, doi string, title string"
+    at = lambda k: (("S1", k, "journal", "x"), None, None, None)
+    data = [
+        (1, "W1", at("0378-5955"), 2021, "article", 1, ["W2"], "2024-01-01", None, False, None, None, None), (2, "W1", at("0378-5955"), 2021, "article", 1, ["W2"], "2024-02-01", True, False, None, None, None),
+        (3, "W2", at("0378-5955"), 2021, "article", 0, None, "2024-01-01", False, False, None, None, None), (4, "W2", at(" "), 2021, "article", 0, None, "2024-03-01", False, False, None, None, None), (5, "W3", at("0378-5955"), 1990, "article", 0, None, "2024-01-01", False, False, None, None, None),
+    ]
+    spark.createDataFrame(data, schema).withColumn("updated_date", F.to_timestamp("updated_date")).write.parquet(f"{tmp_path}/fixture.parquet")
+    from quillmesh.plans import base
+
+    chosen = base.eligible_works(spark, str(tmp_path), [2022, 2023])
+    assert sorted(r.record_id for r in chosen.collect()) == [1, 3]
+    assert sorted(r.record_id for r in base.works(spark, str(tmp_path)).collect()) == [2, 4, 5]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(publication_year" in plan.split("PushedFilters")[1]
 
 
 def test_used_citations(spark, rows):
@@ -85,8 +103,8 @@ def test_null_safe_mapping_keeps_nulls(spark, rows):
 @pytest.mark.parametrize(
     "members,value,how",
     [
-        ([(True, "A"), (False, "B")], "A", "canonical"), ([(True, None), (False, "B"), (False, "B")], "B", "unanimous"), ([(True, None), (False, "B"), (False, "C")], "Conflicting fields", "conflict"),
-        ([(True, "A"), (True, "B")], "Conflicting fields", "canonical_conflict"), ([(True, None)], "Unknown", "missing"),
+        ([(True, "A"), (False, "B")], "A", "canonical_arm"), ([(True, None), (False, "B"), (False, "B")], "B", "unanimous_component_fallback"), ([(True, None), (False, "B"), (False, "C")], "Multiple OA fields", "component_conflict"),
+        ([(True, "A"), (True, "B")], "Multiple OA fields", "canonical_arm_conflict"), ([(True, None)], "Unknown", "missing"),
     ],
 )
 def test_consensus(spark, members, value, how):
@@ -186,10 +204,33 @@ def test_both_solvers_agree(spark):
     b = {tuple(r[:4]): r for r in scores.solve_in_frames(nodes, edges, tolerance=1e-9).collect()}
     assert a.keys() == b.keys()
     for k in a:
-        assert math.isclose(a[k].share, b[k].share, abs_tol=1e-5)
+        assert math.isclose(a[k].share, b[k].share, abs_tol=1e-5) and a[k].defined == b[k].defined and math.isclose(a[k].normalised, b[k].normalised, abs_tol=1e-6)
         assert (a[k].per_article is None) == (b[k].per_article is None) and math.isclose(a[k].per_article or 0, b[k].per_article or 0, abs_tol=1e-6)
 
 
+def test_fail_closed(spark):
+    ok = np.array([1.0, 2.0])
+    share, a, steps, residual = scores.solve_arrays(2, np.array([0, 1]), np.array([1, 0]), ok, ok)
+    assert steps > 1 and residual <= 1e-12 and math.isclose(share.sum(), 100)
+    with pytest.raises(ValueError, match="article mass"):
+        scores.solve_arrays(2, np.array([0]), np.array([1]), np.array([1.0]), np.zeros(2))
+    with pytest.raises(ValueError, match="flows"):
+        scores.solve_arrays(2, np.array([], int), np.array([], int), np.array([]), ok)
+    nodes, edges = cells(spark, [(1, "A", 0, 0)], [(1, "A", "B", 4, 4)], [(1, "oa", k) for k in "AB"])
+    with pytest.raises(ValueError, match="article mass"):
+        scores.solve_in_frames(nodes, edges)
+
+
+def test_input_faults(spark):
+    c = spark.createDataFrame([(1, "A", 1, 2), (1, "A", 1, 1), (1, None, 1, 1)], "score_year int, issn_l string, a_raw long, a_filtered long")
+    e = spark.createDataFrame([(1, "A", "B", -1, 0), (1, "A", "B", 1, 0), (1, None, "B", 1, 2)], "score_year int, citing string, cited string, n_raw long, n_filtered long")
+    states = spark.createDataFrame([(1, "n", "A")], "score_year int, universe string, issn_l string")
+    found = {r.rule: r.n for r in scores.input_faults(c, e, states).collect()}
+    assert found == {"count without key": 1, "negative article count": 0, "filtered articles above raw": 1, "edge without key": 1, "negative citation count": 1, "filtered citations above raw": 2, "repeated count": 1, "repeated edge": 1, "empty state": 1}
+    with pytest.raises(ValueError, match="empty state"):
+        publish.require_none(scores.input_faults(c, e, states))
+
+
 def test_isolated_node_without_articles_changes_nothing(spark):
     base = {r.issn_l: r.share for r in scores.network_scores(*cells(spark, [(1, "A", 2, 2), (1, "B", 1, 1)], [(1, "A", "B", 2, 2), (1, "B", "A", 1, 1)], [(1, "oa", k) for k in "AB"])).where("treatment = 'raw'").collect()}
     more = {r.issn_l: r.share for r in scores.network_scores(*cells(spark, [(1, "A", 2, 2), (1, "B", 1, 1)], [(1, "A", "B", 2, 2), (1, "B", "A", 1, 1), (1, "Z", "Z", 3, 3)], [(1, "oa", k) for k in "ABZ"])).where("treatment = 'raw'").collect()}
@@ -275,11 +316,11 @@ def test_field_label(spark):
 
 # --- ranks and views ---
 
-JY = "score_year int, journal_id string, title string, field string, score double, in_n boolean, coverage double, active_years int, is_open_access boolean, issns string, publisher string, domain string, in_oa boolean"
+JY = "score_year int, journal_id string, title string, field string, per_article_n_filtered double, in_n boolean, coverage double, active_years int, is_open_access boolean, issns string, publisher string, domain string, in_oa boolean, register_area string, register_field string, ratio5_raw double"
 
 
 def annual(spark, data):
-    return spark.createDataFrame([(*r, *([None] * (13 - len(r)))) for r in data], JY)
+    return spark.createDataFrame([(*r, *([None] * (16 - len(r)))) for r in data], JY)
 
 
 def test_ecdf_ties_take_the_highest_rank(spark):
@@ -295,6 +336,23 @@ def rank_data(spark):
     ])
 
 
+def test_ranges_give_the_same_ranks(spark):
+    df = spark.createDataFrame([(i % 2, float((i * 7919) % 997), i) for i in range(1500)] + [(None, 1.0, 9000)], "g int, v double, i int")
+    plain = {r.i: (r.pct, r.pct_of) for r in ranks.ecdf(df, ["g"], "v", "pct").collect()}
+    assert plain == {r.i: (r.pct, r.pct_of) for r in ranks.ecdf(df, ["g"], "v", "pct", range_values=10).collect()} and len(plain) == 1501
+
+
+def test_ratio_views(spark, rows):
+    """A total percentile decides under ``both``; any ratio score keeps a row in view; rows without one are not even hidden."""
+    df = annual(spark, [(2024, "a", "Alpha", "X", None, True, 50.0, 5), (2024, "b", "Alpha b", "X", None, True, 50.0, 5), (2024, "c", "Alpha c", "X", None, False, 50.0, 5), (2024, "d", "Delta", "X", None, True, 50.0, 5, None, None, None, None, None, "alpha area")])
+    df = df.withColumn("ratio2_filtered", F.expr("CASE journal_id WHEN 'a' THEN 1.0 WHEN 'd' THEN 2.0 END")).withColumn("ratio5_raw", F.expr("CASE WHEN journal_id IN ('b', 'c') THEN 3.0 END"))
+    s = ranks.Selection(metric="ratio2", top_percent=50, percentile="both", query="alpha")
+    ranked = ranks.two_stage(df, s)
+    assert [r.journal_id for r in views.visible(ranked, s).collect()] == ["d"]
+    assert rows(views.hidden_matches(ranked, s), "journal_id", "reasons") == [("a", "percentiles"), ("b", "percentiles"), ("c", "universe")]
+    assert sorted(r.journal_id for r in views.visible(ranked, ranks.Selection(metric="ratio2", pool_only=False)).collect()) == ["a", "b", "d"]
+
+
 def test_two_stage_ranking(spark):
     s = ranks.Selection(top_percent=70)
     got = {(r.score_year, r.journal_id): r for r in ranks.two_stage(rank_data(spark), s).collect()}
@@ -315,9 +373,12 @@ def test_three_year_mean_needs_the_current_year(spark):
     assert got["B", 2024].pool_mean is None and ("Z", 2024) not in got
 
 
-def test_presets_and_years():
-    assert ranks.preset_of(ranks.Selection(query="x", page=3)) == "network-register" and ranks.preset_of(ranks.Selection(min_years=1)) == "custom"
-    assert ranks.preset_of(ranks.Selection(min_coverage=20, top_percent=75, percentile="total", average=False), can_average=False) == "pool-average"
+def test_presets_and_years(spark):
+    table = spark.createDataFrame([("plain", None, None, None, None, None), ("averaged", None, 20.0, 75.0, "total", True), ("ratio", "ratio2", None, None, None, None)], "name string, metric string, min_coverage double, top_percent double, percentile string, average boolean")
+    presets = ranks.presets_of(table)
+    assert ranks.preset_of(ranks.Selection(query="x", page=3), presets) == "plain" and ranks.preset_of(ranks.Selection(min_years=1), presets) is None
+    assert ranks.preset_of(ranks.Selection(min_coverage=20, top_percent=75, percentile="total", average=False), presets, can_average=False) == "averaged"
+    assert ranks.preset_of(ranks.Selection(metric="ratio2"), presets) == "ratio"
     assert ranks.starting_year([2023, 2024, 2025], 2025) == 2024 and ranks.starting_year([2025], 2025) == 2025 and ranks.starting_year([2023, 2024], 2025, 2023) == 2023
     assert ranks.can_average({2022, 2023, 2024}, 2024) and not ranks.can_average({2023, 2024}, 2024)
     with pytest.raises(ValueError):
@@ -347,9 +408,9 @@ def test_export_guard_and_history(spark, rows):
 
 
 def test_violations_and_differences(spark, rows):
-    jy = spark.createDataFrame([(1, "a", 5, 6, 1, 50.0, 0.2), (1, "a", None, None, 0, None, None), (1, "b", 0, 0, 0, 120.0, 1.0), (None, "c", 1, 1, 1, 1.0, None)], "score_year int, journal_id string, works_raw int, works_filtered int, citations int, coverage double, score double")
+    jy = spark.createDataFrame([(1, "a", 5, 6, 1, 1, 50.0), (1, "a", None, None, 0, 0, None), (1, "b", 0, 0, 0, 0, 120.0), (None, "c", 1, 1, 1, 2, None)], "score_year int, journal_id string, works_raw int, works_filtered int, citations int, citations_filtered int, coverage double")
     found = {r.rule: r.n for r in publish.violations(jy, publish.annual_rules(), ["score_year", "journal_id"]).collect()}
-    assert found == {"year or id missing": 1, "filtered above raw": 1, "negative count": 0, "coverage out of range": 1, "score without works": 1, "score missing though works": 1, "repeated key": 1}
+    assert found == {"year or id missing": 1, "filtered above raw": 1, "citations filtered above raw": 1, "not a count": 1, "coverage out of range": 1, "coverage without works": 1, "coverage missing though works": 1, "repeated key": 1}
     with pytest.raises(ValueError, match="repeated key"):
         publish.require_none(publish.violations(jy, publish.annual_rules(), ["score_year", "journal_id"]))
     a = spark.createDataFrame([(1, "a", 1, 1.0), (1, "b", None, 2.0), (1, "c", 3, 3.0)], "score_year int, journal_id string, n int, x double")
@@ -357,6 +418,51 @@ def test_violations_and_differences(spark, rows):
     assert rows(publish.differences(a, b, ["n", "x"])) == [(1, "b", "n,x"), (1, "c", "only left"), (1, "d", "only right")]
 
 
+def handover_row(**changes):
+    row = {"score_year": 2024, "journal_id": "K", "window_start": 2019, "window_end": 2023, "works_raw": 10, "works_filtered": 5, "citations": 3, "citations_filtered": 2, "active_years": 4, "coverage": 50.0, "register_ids": "12 | 7", "register_level": 1}
+    return row | {f"{m}_{u}_{t}": 1.0 for m in ("share", "per_article") for u in ("n", "oa") for t in ("raw", "filtered")} | changes
+
+
+def test_handover_rules(spark):
+    kinds = {k: "int" if isinstance(v, int) else "double" if isinstance(v, float) else "string" for k, v in handover_row().items()}
+    schema = ", ".join(f"{k} {v}" for k, v in kinds.items())
+    score = lambda universe, treatment, share: (2024, universe, treatment, "K", share)
+    full = spark.createDataFrame([score(u, t, 100.0) for u in ("n", "oa") for t in ("raw", "filtered")], "score_year int, universe string, treatment string, issn_l string, share double")
+    members = spark.createDataFrame([(2024, "K")], "score_year int, journal_id string")
+
+    def broken(scores=full, among=members, **changes):
+        frame = spark.createDataFrame([tuple(handover_row(**changes).values())], schema)
+        return {r.rule for r in publish.handover_violations(frame, scores, among).where("n > 0").collect()}
+
+    assert broken() == set()
+    assert broken(window_start=2020) == {"another window"} and broken(works_filtered=11) >= {"filtered above raw"} and broken(active_years=6) == {"more active years than the window"}
+    assert broken(coverage=None) == {"coverage and works disagree"} and broken(coverage=49.0) == {"coverage is not the share"} and broken(share_oa_raw=float("inf")) >= {"score not a number"}
+    assert broken(share_n_raw=-1.0) == {"negative score"} and broken(share_n_raw=None) == {"per article without share"} and broken(per_article_oa_raw=None) == {"per article missing"} and broken(share_oa_raw=0.0) == {"uncited but not zero"}
+    assert broken(register_ids="12 | x") == {"odd register id"} and broken(register_ids=None) == {"member without register entry"} and broken(register_level=None) == {"member without level"}
+    assert broken(among=members.where("score_year = 1")) == {"register entry of no member", "level of no member", "register score of no member"}
+    assert broken(scores=full.where("universe = 'n'")) == {"a state is missing"} and broken(scores=full.unionByName(full.limit(1))) == {"a state repeats a journal", "shares of a state do not add up"}
+    assert broken(works_raw=0, works_filtered=0, coverage=None) == {"per article without articles"}
+
+
+def test_joined_once(spark, rows):
+    a, b = spark.createDataFrame([(1, "x"), (1, "y")], "k int, a string"), spark.createDataFrame([(1, "z")], "k int, b string")
+    assert publish.joined_once(a, b, ["k"]).count() == 2
+    with pytest.raises(ValueError, match="left side"):
+        publish.joined_once(a, b, ["k"], both=True)
+    with pytest.raises(ValueError, match="right side"):
+        publish.joined_once(b, a, ["k"])
+
+
+def test_projected_edges_conserve(spark, rows):
+    edges = spark.createDataFrame([(1, "S1", "0378-5955", "S2", "2049-3630", 3, 2), (1, "S3", "0378-5955", "S2", None, 5, 4), (1, "S9", "0000-0001", "S2", "2049-3630", 7, 1)], "score_year int, citing_source_id string, raw_citing_issn_l string, cited_source_id string, raw_cited_issn_l string, n_raw long, n_filtered long")
+    overrides = spark.createDataFrame([("S2", None, "2049-3630")], "source_id string, expected_key string, target string")
+    aliases = spark.createDataFrame([], "alias string, target string")
+    corrections = spark.createDataFrame([], "key string, target string")
+    out = identity.project_edges(edges, overrides, aliases, corrections)
+    assert rows(out) == sorted([(1, "0378-5955", "2049-3630", 8, 6), (1, None, "2049-3630", 7, 1)], key=repr)
+    assert rows(identity.edge_conservation(out)) == [(1, 1, 8, 6, 7, 1)]
+
+
 def test_frozen_and_live_years(spark, rows):
     old = spark.createDataFrame([(2023, "a"), (2024, "a")], "score_year int, journal_id string")
     new = spark.createDataFrame([(2023, "b", 1), (2024, "b", 1)], "score_year int, journal_id string, extra int")
@@ -371,10 +477,10 @@ def test_wide_scores(spark):
 
 
 def test_metric_columns_have_no_stand_ins(spark):
-    df = spark.createDataFrame([(True, None, 1.0, 2.0, 3.0, 7, 9, 11)], "in_n boolean, in_oa boolean, ratio2_filtered double, ratio5_filtered double, per_item_n_filtered double, used_n_filtered long, citations long, works_filtered long")
+    df = spark.createDataFrame([(True, None, 1.0, 2.0, 3.0, 7, 9, 11)], "in_n boolean, in_oa boolean, ratio2_filtered double, ratio5_filtered double, per_article_n_filtered double, used_n_filtered long, citations long, works_filtered long")
     get = lambda c: df.select(c.alias("x")).first().x
     s = ranks.Selection(treatment="filtered")
-    assert get(ranks.score_column(s, "ratio2")) == 1.0 and get(ranks.score_column(s, "ratio5")) == 2.0 and get(ranks.score_column(s, "per_item")) == 3.0
+    assert get(ranks.score_column(s, "ratio2")) == 1.0 and get(ranks.score_column(s, "ratio5")) == 2.0 and get(ranks.score_column(s, "per_article")) == 3.0
     assert get(ranks.score_column(s, "ratio2", "oa")) is None
     assert get(ranks.used_count_column(s, "citations")) == 7 and get(ranks.used_count_column(s, "publications")) == 11
     assert get(ranks.used_count_column(ranks.Selection(universe="n", treatment="filtered"), "citations")) != 9
