@@ -18,9 +18,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillmesh.operators.ordered import RANGE_VALUES, running_totals
+from quillmesh.sources.stages import durable
+
 
 def value_frequencies(rows: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
     """(key..., values..., frequency): one row per key and combination of values."""
@@ -35,22 +37,23 @@ def key_totals(frequencies: DataFrame, key: Sequence[str], values: Sequence[str]
     )
 
 
-def key_distribution(frequencies: DataFrame, key: Sequence[str], value: str, percent: Sequence[float] = (0.5,)) -> DataFrame:
-    """(key..., distinct_<value>, mode_<value>, p<NN>_<value>...) of one value, exactly."""
+def key_distribution(frequencies: DataFrame, key: Sequence[str], value: str, percent: Sequence[float] = (0.5,), range_values: int = RANGE_VALUES) -> DataFrame:
+    """(key..., distinct_<value>, mode_<value>, p<NN>_<value>...) of one value, exactly; the values of a key are put in order range by range."""
     weighted = frequencies.where(F.col(value).isNotNull()).groupBy(*key, value).agg(F.sum("frequency").alias("frequency"))
-    ordered = W.partitionBy(*key).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = W.partitionBy(*key)
-    ranked = weighted.select(*key, value, "frequency", F.sum("frequency").over(ordered).alias("upto"), F.sum("frequency").over(whole).alias("all_rows"))
+    ranked = running_totals(weighted, key, value, "frequency", range_values)
     return ranked.groupBy(*key).agg(
         F.count("*").alias(f"distinct_{value}"),
         F.max_by(value, F.struct(F.col("frequency"), -F.col(value))).alias(f"mode_{value}"),
-        *[F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("all_rows")), F.col(value))).alias(f"p{round(p * 100):02d}_{value}") for p in percent],
+        *[F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("total")), F.col(value))).alias(f"p{round(p * 100):02d}_{value}") for p in percent],
     )
 
 
 def key_profile(rows: DataFrame, key: Sequence[str], values: Sequence[str], percent: Sequence[float] = (0.5,)) -> DataFrame:
-    """Totals and distributions of every value for every key."""
-    frequencies = value_frequencies(rows, key, values)
+    """Totals and distributions of every value for every key.
+
+    The frequencies are written once: the rows are read and shuffled for them only, and each part reads its columns.
+    """
+    frequencies = durable(value_frequencies(rows, key, values))
     out = key_totals(frequencies, key, values)
     for v in values:
         d = key_distribution(frequencies, key, v, percent)

@@ -42,18 +42,32 @@ def manifest_files(manifest: str | os.PathLike, root: str | os.PathLike) -> list
 
 
 def bound_read(spark: SparkSession, files: Sequence[str], rows: int | None = None, schema=None) -> DataFrame:
-    """Rows of listed local files, written to a durable copy; a file that changes meanwhile, or another row total, is an error."""
-    from quillmesh.sources.stages import durable
-
-    stamp = lambda: [(os.stat(f).st_size, os.stat(f).st_mtime_ns) for f in files]
-    before = stamp()
-    copy = durable(read_listed(spark, files, schema))
-    n = copy.count()
-    if stamp() != before:
-        raise RuntimeError("an input file changed while it was read")
+    """Rows of listed files that did not change while they were counted; a file of another size or time, or another row total, is an error.
+
+    Nothing is copied: the count reads footers only, and :func:`still_bound` repeats the look at the files after whatever was made of the rows.
+    """
+    before = file_stamps(spark, files)
+    found = read_listed(spark, files, schema)
+    n = found.count()
+    still_bound(spark, before)
     if rows is not None and n != rows:
         raise ValueError(f"{n} rows, the manifest says {rows}")
-    return copy
+    return found
+
+
+def file_stamps(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """Size and time of every file, on whatever file system it is."""
+    out = {}
+    for f in files:
+        fs, hadoop = _filesystem(spark, f)
+        status = fs.getFileStatus(hadoop(f))
+        out[f] = (status.getLen(), status.getModificationTime())
+    return out
+
+
+def still_bound(spark: SparkSession, stamps: Mapping[str, tuple[int, int]]) -> None:
+    if file_stamps(spark, list(stamps)) != dict(stamps):
+        raise RuntimeError("an input file changed while it was read")
 
 
 def write_manifest(files: Iterable[str | os.PathLike], root: str | os.PathLike, manifest: str | os.PathLike) -> None:
@@ -82,6 +96,7 @@ def pick_columns(rows: DataFrame, alternatives: Mapping[str, Sequence[str]]) ->
 
 # --- register and hand-over text files ------------------------------------------------------------------------
 
+# Column names of the register file.
 REGISTER_COLUMNS = ["journal_id", "Original Title", "International Title", "Print ISSN", "Online ISSN", "NPI Academic Discipline", "NPI Scientific Field", "Series", "Ceased"]
 
 
@@ -172,8 +187,11 @@ def _filesystem(spark: SparkSession, path: str):
 
 
 def write_annual(rows: DataFrame, path: str) -> None:
-    """One folder per score year; a filter on the year prunes the rest."""
-    rows.repartition("score_year").sortWithinPartitions("journal_id").write.mode("overwrite").partitionBy("score_year").parquet(path)
+    """One folder per score year; a filter on the year prunes the rest.
+
+    A year is cut into ranges of ids, each a file of its own in order, so no task writes a whole year.
+    """
+    rows.repartitionByRange("score_year", "journal_id").sortWithinPartitions("score_year", "journal_id").write.mode("overwrite").partitionBy("score_year").parquet(path)
 
 
 def write_shards(rows: DataFrame, path: str) -> None:

@@ -125,16 +125,38 @@ def test_streams(spark, tmp_path):
     q = incremental.keep_latest(incremental.deliveries(spark, folder, STREAM), ["edge"], "at", str(tmp_path / "latest"), str(tmp_path / "c2"))
     q.awaitTermination(120)
     batch = latest_version(spark.read.parquet(folder), ["edge"], [F.desc("at")])
-    assert spark.read.parquet(str(tmp_path / "latest/v=0")).exceptAll(batch).isEmpty()
+    assert incremental.read_latest(spark, str(tmp_path / "latest")).select(batch.columns).exceptAll(batch).isEmpty()
     totals = incremental.windowed_totals(incremental.deliveries(spark, folder, STREAM, 1), "at", "1 hour", ["cited"], ["n"], "1 hour")
     q = totals.writeStream.outputMode("append").format("memory").queryName("totals").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert ("A", 5, 4) in {(r.cited, r.total_n, r.n_rows) for r in spark.table("totals").collect()}
 
 
+def test_newest_versions_over_several_batches(spark, tmp_path):
+    """One file a batch: only touched parts are rewritten, earlier rows stay, a missing list is an error."""
+    import os
+
+    inbox, latest = str(tmp_path / "in"), str(tmp_path / "latest")
+    schema = "k int, at int, x string"
+    rounds = [[(k, 1, "first") for k in range(40)], [(3, 2, "second"), (3, 0, "late"), (41, 1, "new")], [(3, 1, "older"), (7, 5, "third")], [(8, 9, "fourth")]]
+    for n, data in enumerate(rounds):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(inbox)
+        incremental.keep_latest(incremental.deliveries(spark, inbox, schema), ["k"], "at", latest, str(tmp_path / "c")).awaitTermination(120)
+        want = {k: x for k, (_, x) in ((k, max((a, x) for kk, a, x in sum(rounds[: n + 1], []) if kk == k)) for k in {r[0] for r in sum(rounds[: n + 1], [])})}
+        assert {r.k: r.x for r in incremental.read_latest(spark, latest).collect()} == want
+    os.remove(f"{latest}/v=3.json")
+    spark.createDataFrame([(1, 1, "x")], schema).coalesce(1).write.mode("append").parquet(inbox)
+    with pytest.raises(Exception, match="missing"):
+        incremental.keep_latest(incremental.deliveries(spark, inbox, schema), ["k"], "at", latest, str(tmp_path / "c")).awaitTermination(120)
+
+
 def test_bound_read_refuses_a_wrong_total(spark, tmp_path):
     spark.range(6).coalesce(1).write.parquet(str(tmp_path / "x"))
     parts = [str(p) for p in (tmp_path / "x").glob("*.parquet")]
     assert files.bound_read(spark, parts, 6).count() == 6
     with pytest.raises(ValueError, match="manifest"):
         files.bound_read(spark, parts, 7)
+    stamps = files.file_stamps(spark, parts)
+    files.still_bound(spark, stamps)
+    with pytest.raises(RuntimeError, match="changed"):
+        files.still_bound(spark, {k: (n + 1, t) for k, (n, t) in stamps.items()})
