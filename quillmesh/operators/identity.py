@@ -105,3 +105,19 @@ def suppress_arms(sources: DataFrame, decisions: DataFrame) -> DataFrame:
     d = decisions.select(F.col("source_id").alias("__m"), "chosen")
     joined = sources.join(d, F.col("source_id") == F.col("__m"), "left").drop("__m")
     return joined.withColumn("shown", F.coalesce(F.col("chosen") == F.col("source_id"), F.lit(True))).drop("chosen")
+
+
+def journal_view(projected: DataFrame) -> DataFrame:
+    """(effective_key, source_id, title) of effective journals of type journal whose key belongs to exactly one source of that raw key."""
+    own = projected.where((F.col("raw_key") == F.col("effective_key")) & (F.lower(F.trim("source_type")) == "journal"))
+    return own.groupBy("effective_key").agg(F.count("*").alias("__n"), F.min(F.struct("source_id", "title")).alias("s")).where("__n = 1").select("effective_key", "s.source_id", "s.title")
+
+
+def overlapping_components(members: DataFrame) -> DataFrame:
+    """(source_id, n_components) of sources in more than one component; ``members`` is (component, source_id)."""
+    return members.distinct().groupBy("source_id").agg(F.count("*").alias("n_components")).where("n_components > 1")
+
+
+def alias_conflicts(aliases: DataFrame) -> DataFrame:
+    """(issn, n_keys) of aliases that lead to more than one effective key; ``aliases`` is (issn, effective_key)."""
+    return aliases.distinct().groupBy("issn").agg(F.count("*").alias("n_keys")).where("n_keys > 1")

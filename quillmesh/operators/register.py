@@ -27,6 +27,21 @@ def unpivot_levels(wide: DataFrame, ids: list[str], prefix: str = "Level ") -> D
 
 # Outcomes of matching by ISSN.
 NO_ISSN, NO_MATCH, MATCH, SEVERAL = "missing_register_issns", "no_exact_issn_match", "exact_issn", "ambiguous_exact_issn_match"
+REVIEWED, REVIEWED_NONE, CONFLICTING = "reviewed_match", "reviewed_no_match", "conflicting_decisions"
+
+
+def with_decisions(matched: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Matches with reviewed decisions in place of what the ISSNs say: (score_year, journal_id, issn_l), null for a reviewed non-match.
+
+    A decision for an entry that is not there changes nothing; two different decisions for one entry are an error of the
+    decision table and leave the entry in the queue.
+    """
+    ids = ["score_year", "journal_id"]
+    each = decisions.groupBy(*ids).agg(F.count_distinct(F.coalesce("issn_l", F.lit(""))).alias("__n"), F.max("issn_l").alias("__key"))
+    out = matched.join(each, ids, "left")
+    one, torn = F.coalesce(F.col("__n") == 1, F.lit(False)), F.coalesce(F.col("__n") > 1, F.lit(False))
+    outcome = F.when(torn, CONFLICTING).when(one & F.col("__key").isNull(), REVIEWED_NONE).when(one, REVIEWED).otherwise(F.col("outcome"))
+    return out.withColumns({"issn_l": F.when(torn, F.lit(None)).when(one, F.col("__key")).otherwise(F.col("issn_l")), "outcome": outcome}).drop("__n", "__key")
 
 
 def match_by_issn(members: DataFrame, aliases: DataFrame) -> DataFrame:

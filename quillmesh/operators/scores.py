@@ -171,6 +171,12 @@ def network_scores(nodes: DataFrame, edges: DataFrame, worker_edges: int = WORKE
     return solve_in_workers(nodes, edges) if largest <= worker_edges else solve_in_frames(nodes, edges)
 
 
+def isolated(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes of a cell that neither cite nor are cited inside it."""
+    ends = edges.select(*CELL, F.explode(F.array("citing", "cited")).alias("issn_l")).distinct()
+    return nodes.join(ends, [*CELL, "issn_l"], "left_anti")
+
+
 def score_audit(scores: DataFrame, edges: DataFrame) -> DataFrame:
     """Per cell: nodes, edges, weight, sums that must hold, and a digest of the node set that needs no ordering and combines map-side."""
     state = scores.groupBy(*CELL).agg(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -47,3 +48,19 @@ def preimage_audit(rows: DataFrame, key: str, ledger: DataFrame, expected: dict[
         differs = test if differs is None else differs | test
     absent = F.col("__held_id").isNull()
     return joined.agg(F.count("*").alias("n_entries"), F.count_if(absent).alias("n_absent"), F.count_if(~absent & differs).alias("n_changed"))
+
+
+def classified(rules: Mapping[str, Column], what: Column, review: bool = False) -> Column:
+    """Name of the first rule that holds.  Content that no rule knows stops the plan, or with ``review`` gives null for a review table."""
+    out = None
+    for name, test in rules.items():
+        out = F.when(test, name) if out is None else out.when(test, name)
+    unknown = F.lit(None).cast("string") if review else F.raise_error(F.concat(F.lit("no rule knows: "), F.coalesce(what.cast("string"), F.lit("null"))))
+    return out.otherwise(unknown)
+
+
+def combined_ledgers(*ledgers: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(entries, conflicts) of several ledgers of the same columns: equal entries count once, a key with different ones is a conflict and no entry."""
+    every = reduce(lambda a, b: a.unionByName(b), ledgers).distinct()
+    torn = every.groupBy(key).agg(F.count("*").alias("n_entries")).where("n_entries > 1")
+    return every.join(torn.select(key), key, "left_anti"), torn

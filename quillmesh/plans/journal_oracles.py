@@ -480,5 +480,27 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, 1 AS t FROM cnt) a FULL JOIN (SELECT score_year, k2 AS issn_l, sum(a_raw) AS a_raw, sum(a_filtered) AS a_filtered, 1 AS t FROM {_project('wcnt', 'raw_issn_l')} WHERE {valid(bare('k2'))} GROUP BY ALL) b USING (score_year, issn_l)
         WHERE a.t IS NULL OR b.t IS NULL OR a.a_raw IS DISTINCT FROM b.a_raw OR a.a_filtered IS DISTINCT FROM b.a_filtered"""
     ),
+    "journal_export_view": _q(
+        "SELECT effective_key, min(source_id) AS source_id, any_value(title) AS title FROM projected WHERE raw_key = effective_key AND lower(trim(source_type)) = 'journal' GROUP BY effective_key HAVING count(*) = 1"
+    ),
+    "isolated_nodes": _q(
+        """SELECT n.score_year, n.universe, n.treatment, n.issn_l, n.articles FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM arcs x WHERE x.score_year = n.score_year AND x.universe = n.universe AND x.treatment = n.treatment AND (x.citing = n.issn_l OR x.cited = n.issn_l))"""
+    ),
+    "public_ratio": _q(
+        """SELECT p.score_year, p.journal_id, CASE WHEN regexp_full_match(p.journal_id, '[0-9]{4}-[0-9]{3}[0-9X]') THEN p.journal_id END AS issn_l, j.title, j.publisher, j.is_open_access, coalesce(j.in_n, false) AS in_n, coalesce(j.in_oa, false) AS in_oa, p.d_raw, p.d_ref, p.c AS citations_raw, p.f AS citations_ref,
+        round(100.0::DOUBLE * d_ref / nullif(d_raw, 0), 9) AS coverage, round(100 - 100.0::DOUBLE * d_ref / nullif(d_raw, 0), 9) AS without_references, round(c::DOUBLE / nullif(d_raw, 0), 9) AS ratio_raw, round(f::DOUBLE / nullif(d_ref, 0), 9) AS ratio_ref,
+        CASE WHEN d_ref > 0 THEN 'defined' WHEN d_raw > 0 THEN 'ref_denominator_collapse' ELSE 'no_raw_citable_items' END AS status, field_1, field_2, field_3, works_1, works_2, works_3, works_other, r.urls AS register_urls
+        FROM (SELECT citation_year AS score_year, journal_id, d_raw, d_ref, CASE WHEN citation_year >= 2024 THEN c_raw_without_retracted ELSE c_raw END AS c, CASE WHEN citation_year >= 2024 THEN c_ref_without_retracted ELSE c_ref END AS f FROM pol WHERE w = 2 AND policy = 'AR') p
+        LEFT JOIN jy j ON j.score_year = p.score_year AND j.journal_id = p.journal_id LEFT JOIN top3 t ON t.score_year = p.score_year AND t.issn_l = p.journal_id
+        LEFT JOIN (SELECT score_year, issn_l, string_agg('https://register.example/entry?id=' || journal_id, '; ' ORDER BY coalesce(TRY_CAST(journal_id AS BIGINT), 0), journal_id) AS urls FROM mat WHERE outcome = 'exact_issn' GROUP BY ALL) r ON r.score_year = p.score_year AND r.issn_l = p.journal_id"""
+    ),
+    "decision_faults": _q(
+        f"""SELECT * FROM (VALUES ('work both overridden and excluded', (SELECT count(DISTINCT w.work_id) FROM wrk w JOIN decided d ON d.member = w.source_id AND d.member <> d.chosen WHERE w.is_retracted)),
+        ('source in several components', (SELECT count(*) FROM (SELECT {entity('m', 'S')} AS sid FROM (SELECT {text('issn_l')} AS c, unnest(expected_component_source_ids) AS m FROM reviewed_representative WHERE lower(trim(review_status)) LIKE 'approved%') WHERE c IS NOT NULL AND {blank('m')} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT c) > 1))),
+        ('alias of several keys', (SELECT count(*) FROM (SELECT issn FROM alias_all GROUP BY issn HAVING count(DISTINCT effective_key) > 1))),
+        ('alias that leads to an alias', (WITH al AS (SELECT DISTINCT work_id AS a, c FROM (SELECT work_id, min(work_id) OVER (PARTITION BY lower(doi)) AS c FROM wrk WHERE doi IS NOT NULL) WHERE work_id <> c) SELECT count(*) FROM al WHERE c IN (SELECT a FROM al))),
+        ('denominators differ', (SELECT count(*) FROM (SELECT citation_year, journal_id, d_raw FROM pol WHERE w = 2 AND policy = 'AR' AND d_raw > 0) a FULL JOIN (SELECT y AS citation_year, journal_id, count(*) AS n FROM tgt JOIN cyears ON publication_year BETWEEN y - 2 AND y - 1 WHERE journal_id IS NOT NULL AND work_type IN ('article', 'review') GROUP BY ALL) b
+          USING (citation_year, journal_id) WHERE a.d_raw IS DISTINCT FROM b.n))) v(rule, n)"""
+    ),
     "handover_violations": _q(_handed(), SOLVE),
 }

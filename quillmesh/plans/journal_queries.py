@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,6 +152,11 @@ def attribute_consensus(spark, d):
     return base.attributes(spark, d)
 
 
+@query
+def journal_export_view(spark, d):
+    return identity.journal_view(base.projected_sources(spark, d))
+
+
 @query
 def representative_arms(spark, d):
     decided = base.decisions(spark, d).select(F.col("member").alias("source_id"), "chosen")
@@ -304,6 +310,12 @@ def score_audit(spark, d):
     return scores.score_audit(scores.network_scores(nodes, e), e)
 
 
+@query
+def isolated_nodes(spark, d):
+    nodes, e = _cells(spark, d)
+    return scores.isolated(nodes, e).select(*scores.CELL, "issn_l", "articles")
+
+
 @query
 def annual_scores_wide(spark, d):
     wide = publish.wide_scores(_scores(spark, d))
@@ -622,3 +634,39 @@ def handover_violations(spark, d):
     solved = durable(_scores(spark, d))
     frame = publish.handover_frame(jy, solved, register.grouped_members(base.matched_register(spark, d)))
     return publish.handover_violations(frame, solved, base.universes(spark, d).where("universe = 'n'").select("score_year", F.col("issn_l").alias("journal_id")))
+
+
+@query
+def public_ratio(spark, d):
+    """The published shape of the two-year ratio: every journal with items or citations, under its ISSN-L or, without one, its source."""
+    out = ratio.annual_ratio(_policy_counts(spark, d, 2), "AR", 2).withColumnRenamed("citation_year", "score_year")
+    jy = base.journal_years(spark, d).select("score_year", "journal_id", "title", "publisher", "is_open_access", "in_n", "in_oa")
+    top = fields.top_fields(_votes(spark, d), VOTES_BY).withColumnRenamed("issn_l", "journal_id")
+    entries = register.grouped_members(base.matched_register(spark, d)).select("score_year", F.col("issn_l").alias("journal_id"), F.array_join(F.transform(F.split("journal_ids", r" \| "), lambda x: register.entry_url(x)), "; ").alias("register_urls"))
+    joined = out.join(jy, ranks.YEAR_AND_ID, "left").join(top, ranks.YEAR_AND_ID, "left").join(entries, ranks.YEAR_AND_ID, "left")
+    coverage = F.try_divide(100.0 * F.col("d_ref"), F.col("d_raw"))
+    return joined.select(
+        "score_year", "journal_id", F.when(F.col("journal_id").rlike("^[0-9]{4}-[0-9]{3}[0-9X]$"), F.col("journal_id")).alias("issn_l"), "title", "publisher", "is_open_access", F.coalesce("in_n", F.lit(False)).alias("in_n"), F.coalesce("in_oa", F.lit(False)).alias("in_oa"),
+        "d_raw", "d_ref", "citations_raw", "citations_ref", F.round(coverage, 9).alias("coverage"), F.round(100 - coverage, 9).alias("without_references"), F.round("score_raw", 9).alias("ratio_raw"), F.round("score_ref", 9).alias("ratio_ref"), "status",
+        "field_1", "field_2", "field_3", "works_1", "works_2", "works_3", "works_other", "register_urls",
+    )
+
+
+@query
+def decision_faults(spark, d):
+    """Decision tables and identities that contradict themselves or each other, counted by rule."""
+    overrides, excluded = _ledger(spark, d)
+    src = base.newest_sources(spark, d)
+    members = table(spark, d, "reviewed_representative").where(F.lower(blank_to_null("review_status")).startswith("approved")).select(issn_text("issn_l").alias("component"), F.explode("expected_component_source_ids").alias("m")).select("component", entity_id("m", "S").alias("source_id")).where("component IS NOT NULL AND source_id IS NOT NULL")
+    t = base.targets(spark, d).where("journal_id IS NOT NULL AND publication_year IS NOT NULL")
+    direct = t.where(F.col("work_type").isin(ratio.POLICIES["AR"])).select("journal_id", F.explode(F.filter(F.sequence(F.col("publication_year") + 1, F.col("publication_year") + 2), lambda y: y.isin(base.citation_years(spark, d)))).alias("citation_year")).groupBy("citation_year", "journal_id").agg(F.count("*").alias("direct"))
+    items = _policy_counts(spark, d, 2).where("policy = 'AR' AND d_raw > 0").select("citation_year", "journal_id", "d_raw")
+    rules = {
+        "work both overridden and excluded": overrides.select("work_id").intersect(excluded.select("work_id")),
+        "source in several components": identity.overlapping_components(members),
+        "alias of several keys": identity.alias_conflicts(register.aliases_of_sources(src)),
+        "alias that leads to an alias": ratio.flat_alias_violations(_aliases(spark, d)),
+        "denominators differ": items.join(direct, ["citation_year", "journal_id"], "full_outer").where("NOT (d_raw <=> direct)"),
+    }
+    parts = [rows.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule"), "n") for rule, rows in rules.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

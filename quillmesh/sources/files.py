@@ -102,11 +102,16 @@ REGISTER_COLUMNS = ["journal_id", "Original Title", "International Title", "Prin
 
 def read_register(spark: SparkSession, path: str) -> DataFrame:
     """Long register (one row per journal and year) of a semicolon-separated file with one ``Level <year>`` column a year."""
+    names = next(csv.reader([spark.read.text(path).first()[0].lstrip("\ufeff")], delimiter=";"))
+    if len({n.strip() for n in names}) != len(names):
+        raise ValueError("register repeats a column name")
     wide = spark.read.csv(path, sep=";", header=True, encoding="UTF-8", mode="FAILFAST", multiLine=True, escape='"')
     wide = wide.toDF(*[c.lstrip("﻿").strip() for c in wide.columns])
     missing = [c for c in REGISTER_COLUMNS if c not in wide.columns]
     if missing or not any(c.startswith("Level ") for c in wide.columns):
         raise ValueError(f"register lacks columns: {missing or ['Level <year>']}")
+    if not wide.where("coalesce(trim(journal_id), '') = ''").isEmpty():
+        raise ValueError("register has an entry without id")
     return unpivot_levels(wide, REGISTER_COLUMNS)
 
 
@@ -151,11 +156,24 @@ def contract_hash(contract: Mapping) -> str:
     return hashlib.sha256(json.dumps(contract, sort_keys=True, default=str).encode()).hexdigest()
 
 
-def stage(spark: SparkSession, path: str, contract: Mapping, build) -> DataFrame:
+def table_digest(rows: DataFrame) -> dict[str, int]:
+    """Rows and a digest of their content that needs no order and combines map-side; repeated rows count."""
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(rows.columns)]))
+    one = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.shiftright(F.xxhash64(text), 20)), F.lit(0)).alias("digest")).first()
+    return {"rows": one["rows"], "digest": one["digest"]}
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    fs, hadoop = _filesystem(spark, path)
+    return fs.getContentSummary(hadoop(path)).getLength()
+
+
+def stage(spark: SparkSession, path: str, contract: Mapping, build, verify: bool = False) -> DataFrame:
     """The table at ``path``, built by ``build()`` only if there is no complete one under the same contract.
 
     The table is written beside its place and moved; the receipt comes last, so a table without one is incomplete and
-    refused.  Another contract is an error, never silently overwritten.
+    refused.  Another contract, or another number of bytes than the receipt has, is an error, never silently
+    overwritten; ``verify`` reads the rows again and compares their digest as well.
     """
     fs, hadoop = _filesystem(spark, path)
     target, partial, receipt = hadoop(path), hadoop(f"{path}.partial"), hadoop(f"{path}.receipt.json")
@@ -164,19 +182,32 @@ def stage(spark: SparkSession, path: str, contract: Mapping, build) -> DataFrame
         held = json.loads(spark.read.text(f"{path}.receipt.json", wholetext=True).first()[0])
         if held["contract"] != digest:
             raise RuntimeError(f"{path} was made under another contract")
-        return spark.read.parquet(path)
+        if held["bytes"] != stored_bytes(spark, path):
+            raise RuntimeError(f"{path} has another size than its receipt")
+        found = spark.read.parquet(path)
+        if verify and table_digest(found) != {k: held[k] for k in ("rows", "digest")}:
+            raise RuntimeError(f"{path} has other rows than its receipt")
+        return found
     if fs.exists(target):
         raise RuntimeError(f"{path} has no receipt: incomplete")
     fs.delete(partial, True)
     build().write.option("compression", "zstd").parquet(f"{path}.partial")
     fs.rename(partial, target)
-    rows = spark.read.parquet(path).count()
+    made = {"contract": digest, "bytes": stored_bytes(spark, path), **table_digest(spark.read.parquet(path))}
     out = fs.create(receipt, False)
-    out.write(bytearray(json.dumps({"contract": digest, "rows": rows}).encode()))
+    out.write(bytearray(json.dumps(made).encode()))
     out.close()
     return spark.read.parquet(path)
 
 
+def read_pinned_json(spark: SparkSession, path: str, sha256: str | None = None) -> dict:
+    """A configuration or decision document; with ``sha256`` any other content is an error."""
+    text = spark.read.format("binaryFile").load(path).first()["content"]
+    if sha256 is not None and hashlib.sha256(text).hexdigest() != sha256:
+        raise RuntimeError(f"{path} is not the pinned document")
+    return json.loads(bytes(text).decode("utf-8-sig"))
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     make = lambda p: jvm.org.apache.hadoop.fs.Path(p)

@@ -160,3 +160,41 @@ def test_bound_read_refuses_a_wrong_total(spark, tmp_path):
     files.still_bound(spark, stamps)
     with pytest.raises(RuntimeError, match="changed"):
         files.still_bound(spark, {k: (n + 1, t) for k, (n, t) in stamps.items()})
+
+
+def test_stage_checks_bytes_and_rows(spark, tmp_path):
+    import json
+    import shutil
+
+    path, other = str(tmp_path / "t"), str(tmp_path / "o")
+    make = lambda: spark.range(5).selectExpr("id", "id % 2 = 0 AS even", "map('k', id) AS m")
+    files.stage(spark, path, {"v": 1}, make)
+    assert files.stage(spark, path, {"v": 1}, None, verify=True).count() == 5
+    receipt = json.loads((tmp_path / "t.receipt.json").read_text())
+    assert receipt["rows"] == 5 and receipt["bytes"] > 0
+    (tmp_path / "t.receipt.json").write_text(json.dumps(receipt | {"digest": 1}))
+    (tmp_path / ".t.receipt.json.crc").unlink(missing_ok=True)
+    files.stage(spark, path, {"v": 1}, None)
+    with pytest.raises(RuntimeError, match="other rows"):
+        files.stage(spark, path, {"v": 1}, None, verify=True)
+    files.stage(spark, other, {"v": 1}, lambda: spark.range(9))
+    shutil.rmtree(path)
+    shutil.copytree(other, path)
+    with pytest.raises(RuntimeError, match="another size"):
+        files.stage(spark, path, {"v": 1}, None)
+
+
+def test_pinned_documents_and_register_headers(spark, tmp_path):
+    import hashlib
+
+    doc = tmp_path / "d.json"
+    doc.write_text('{"a": [1]}', encoding="utf-8")
+    assert files.read_pinned_json(spark, str(doc), hashlib.sha256(doc.read_bytes()).hexdigest()) == {"a": [1]}
+    with pytest.raises(RuntimeError, match="pinned"):
+        files.read_pinned_json(spark, str(doc), "0")
+    head = ";".join([*files.REGISTER_COLUMNS, "Level 2024"])
+    for text, message in ((f"{head};Level 2024\n", "repeats"), (f"{head}\n ;a;b;c;d;e;f;g;h;1\n", "without id")):
+        register = tmp_path / "r.csv"
+        register.write_text(text, encoding="utf-8-sig")
+        with pytest.raises(ValueError, match=message):
+            files.read_register(spark, str(register))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillmesh.operators import fields, graph, identity, publish, ranks, ratio, register, scores, versions, views
+from quillmesh.operators import fields, graph, identity, publish, ranks, ratio, register, scores, settings, versions, views
 
 # --- versions and ledgers ---
 
@@ -497,3 +497,42 @@ def test_closed_share(spark):
     s = spark.createDataFrame([(1, "n", "raw", "A", 50.0), (1, "n", "raw", "B", 50.0)], "score_year int, universe string, treatment string, issn_l string, share double")
     r = scores.closed_share(every, every.where("cited <> 'out'"), s).first()
     assert (r.closed_share, r.n_citing) == (0.875, 2)
+
+
+def test_classified_and_ledgers(spark, rows):
+    df = spark.createDataFrame([("a1",), ("b2",), ("zz",)], "x string")
+    rules = {"first": F.col("x").startswith("a"), "second": F.col("x").startswith("b")}
+    assert [r[0] for r in df.select(versions.classified(rules, F.col("x"), review=True)).collect()] == ["first", "second", None]
+    with pytest.raises(Exception, match="no rule knows: zz"):
+        df.select(versions.classified(rules, F.col("x"))).collect()
+    one, two = spark.createDataFrame([("w", "S1"), ("v", "S2")], "k string, t string"), spark.createDataFrame([("w", "S1"), ("v", "S3"), ("u", None)], "k string, t string")
+    entries, conflicts = versions.combined_ledgers(one, two, key="k")
+    assert rows(entries) == [("u", None), ("w", "S1")] and rows(conflicts) == [("v", 2)]
+
+
+def test_reviewed_decisions_override(spark, rows):
+    matched = spark.createDataFrame([(1, i, "K" if i == "a" else None, "exact_issn" if i == "a" else "no_exact_issn_match") for i in "abcde"], "score_year int, journal_id string, issn_l string, outcome string")
+    decisions = spark.createDataFrame([(1, "b", "L"), (1, "b", "L"), (1, "c", None), (1, "d", "L"), (1, "d", "M"), (2, "e", "L"), (1, "zz", "L")], "score_year int, journal_id string, issn_l string")
+    got = {r.journal_id: (r.issn_l, r.outcome) for r in register.with_decisions(matched, decisions).collect()}
+    assert got == {"a": ("K", "exact_issn"), "b": ("L", "reviewed_match"), "c": (None, "reviewed_no_match"), "d": (None, "conflicting_decisions"), "e": (None, "no_exact_issn_match")}
+
+
+def test_identity_conflicts_and_isolated(spark, rows):
+    assert rows(identity.overlapping_components(spark.createDataFrame([("K", "S1"), ("K", "S1"), ("L", "S1"), ("L", "S2")], "component string, source_id string"))) == [("S1", 2)]
+    assert rows(identity.alias_conflicts(spark.createDataFrame([("i", "K"), ("i", "L"), ("j", "K"), ("j", "K")], "issn string, effective_key string"))) == [("i", 2)]
+    nodes, edges = cells(spark, [(1, "A", 2, 2), (1, "B", 1, 1), (1, "Z", 3, 3)], [(1, "A", "B", 2, 2), (1, "Z", "Z", 2, 2)], [(1, "oa", k) for k in "ABZ"])
+    assert {r.issn_l for r in scores.isolated(nodes, edges).collect()} == {"Z"}
+
+
+def test_settings():
+    s = ranks.Selection(query="x", average=True, min_years=3)
+    assert settings.checked_years([2024, 2022]) == [2022, 2024]
+    for odd in ([], [2022, 2022], ["2022"], [True], [2022.0]):
+        with pytest.raises(ValueError):
+            settings.checked_years(odd)
+    assert settings.sorted_by(s, "title").descending is False and settings.sorted_by(settings.sorted_by(s, "title"), "title").descending and settings.sorted_by(s, "coverage").descending
+    r = settings.with_metric(s, "ratio2", can_average=False)
+    assert (r.metric, r.min_years, r.average, r.query) == ("ratio2", 0, False, "x") and settings.with_metric(r, "per_article", True).min_years == ranks.Selection.min_years
+    assert settings.with_metric(s, "share", True).min_years == 3 and settings.applied(s, ranks.Selection(metric="ratio5"), True).query == "x"
+    assert settings.shown_columns(ranks.Selection(percentile="both"), ["issns"]) == ["journal_id", "title", "field", "score", "field_pct", "pool_pct", "works_filtered", "active_years", "issns"]
+    assert "active_years" not in settings.shown_columns(ranks.Selection(metric="ratio2"))
