@@ -51,21 +51,29 @@ def reference_pairs(citing: DataFrame, aliases: DataFrame | None = None) -> Data
     return pairs.distinct()
 
 
-def citation_components(targets: DataFrame, citing: DataFrame, window: int, aliases: DataFrame | None = None) -> DataFrame:
-    """(citation_year, journal_id, work_type, has_refs, n_<mode>, self_<mode>, <component>_<mode>) of citations from register sources.
-
-    The citing year is a column: all years come from one pass, the window is a residual test.
-    """
+def met_citations(targets: DataFrame, citing: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Distinct citations from register sources with what components need of both works, and ``gap``, the years between them."""
     c = canonical_works(citing, aliases).where("in_n").select(F.col("work_id").alias("citing_id"), F.col("publication_year").alias("citation_year"), F.col("journal_id").alias("citing_journal"), F.col("is_retracted").alias("citing_retracted"), "source_component")
     t = canonical_works(targets, aliases).select(F.col("work_id").alias("target_id"), "journal_id", "publication_year", "work_type", "has_refs", F.col("is_retracted").alias("target_retracted"))
-    met = reference_pairs(citing, aliases).join(c, "citing_id").join(t, "target_id").where((F.col("publication_year") < F.col("citation_year")) & (F.col("publication_year") >= F.col("citation_year") - window))
+    met = reference_pairs(citing, aliases).join(c, "citing_id").join(t, "target_id")
+    clean = ~F.col("citing_retracted") & ~F.col("target_retracted")
+    return met.select("citation_year", "journal_id", "work_type", "has_refs", "source_component", clean.alias("clean"), (F.col("citing_journal") == F.col("journal_id")).alias("own"), (F.col("citation_year") - F.col("publication_year")).alias("gap"))
+
+
+def components_within(met: DataFrame, window: int) -> DataFrame:
+    """(citation_year, journal_id, work_type, has_refs, n_<mode>, self_<mode>, <component>_<mode>) of the citations of a window."""
     sums = []
     for mode in RETRACTION:
-        counted = F.lit(True) if mode == "all" else ~F.col("citing_retracted") & ~F.col("target_retracted")
+        counted = F.lit(True) if mode == "all" else F.col("clean")
         sums.append(F.count_if(counted).alias(f"n_{mode}"))
-        sums.append(F.count_if(counted & (F.col("citing_journal") == F.col("journal_id"))).alias(f"self_{mode}"))
+        sums.append(F.count_if(counted & F.col("own")).alias(f"self_{mode}"))
         sums += [F.count_if(counted & (F.col("source_component") == label)).alias(f"{component_column(label)}_{mode}") for label in COMPONENTS]
-    return met.groupBy("citation_year", "journal_id", "work_type", "has_refs").agg(*sums)
+    return met.where(F.col("gap").between(1, window)).groupBy("citation_year", "journal_id", "work_type", "has_refs").agg(*sums)
+
+
+def citation_components(targets: DataFrame, citing: DataFrame, window: int, aliases: DataFrame | None = None) -> DataFrame:
+    """Components of the citations of a window; the citing year is a column: all years come from one pass."""
+    return components_within(met_citations(targets, citing, aliases), window)
 
 
 def item_components(targets: DataFrame, years: list[int], window: int) -> DataFrame:

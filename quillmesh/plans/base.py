@@ -2,15 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.functions.ids import blank_to_null, entity_id, issn_key_is_valid, issn_key, issn_text
 from quillmesh.operators import graph, identity, register
 from quillmesh.operators.versions import latest_version
+from quillmesh.sources.stages import durable
 from quillmesh.sources.tables import table
 
+#: What the query that is being built has asked for already, and whether shared relations are written.
+_CALL: ContextVar[tuple[dict, bool] | None] = ContextVar("call", default=None)
+
 
+@contextmanager
+def one_call(written: bool = False) -> Iterator[None]:
+    """Relations and years that one query asks for several times are made once; with ``written`` the shared relations are stages.
+
+    A query inside a query shares the outer one's.  Nothing outlives the call, so tables may change between two.
+    """
+    if _CALL.get() is not None:
+        yield
+        return
+    token = _CALL.set(({}, written))
+    try:
+        yield
+    finally:
+        _CALL.reset(token)
+
+
+def shared(write: bool):
+    """Marks a relation or value of (spark, folder, ...) that queries share; ``write``: worth a stage where several parts of a plan read it."""
+
+    def mark(f):
+        @wraps(f)
+        def run(spark: SparkSession, d: str, *given):
+            call = _CALL.get()
+            if call is None:
+                return f(spark, d, *given)
+            memo, written = call
+            key = (f.__name__, id(spark), d, *given)
+            if key not in memo:
+                made = f(spark, d, *given)
+                memo[key] = durable(made) if write and written else made
+            return memo[key]
+
+        return run
+
+    return mark
+
+
+@shared(write=False)
 def years_of(spark: SparkSession, d: str, name: str, column: str) -> list[int]:
     """Distinct years of a table in order; as many values as there are years reach the driver."""
     return sorted(r[0] for r in table(spark, d, name).select(column).where(F.col(column).isNotNull()).distinct().collect())
@@ -24,6 +71,7 @@ def citation_years(spark: SparkSession, d: str) -> list[int]:
     return years_of(spark, d, "citing", "publication_year")
 
 
+@shared(write=True)
 def newest_sources(spark: SparkSession, d: str) -> DataFrame:
     """The newest version of every source in the newest snapshot; the snapshot date is one value, found first so that the scan is filtered."""
     rows = table(spark, d, "source_rows")
@@ -47,6 +95,7 @@ def newest_sources(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@shared(write=True)
 def counts(spark: SparkSession, d: str) -> DataFrame:
     """(score_year, issn_l, a_raw, a_filtered): the last delivered row of each journal year."""
     rows = table(spark, d, "effective_counts").select("score_year", issn_text("issn_l").alias("issn_l"), "a_raw", "a_filtered", "loaded_at").where("issn_l IS NOT NULL AND score_year IS NOT NULL")
@@ -107,6 +156,7 @@ def eligible_works(spark: SparkSession, d: str, years: list[int] | None = None)
     return chosen.withColumn("refs", F.when(F.col("year").isin(years), F.col("refs")))
 
 
+@shared(write=True)
 def targets(spark: SparkSession, d: str) -> DataFrame:
     """Citable works, the last delivery of each, without those that are withdrawn."""
     rows = table(spark, d, "targets").withColumn("work_id", entity_id("work_id", "W")).where("work_id IS NOT NULL")
@@ -114,6 +164,7 @@ def targets(spark: SparkSession, d: str) -> DataFrame:
     return last.select("work_id", blank_to_null("journal_id").alias("journal_id"), "publication_year", "work_type", (F.coalesce("observed_references", F.lit(0)) > 0).alias("has_refs"), F.coalesce("is_retracted", F.lit(False)).alias("is_retracted"))
 
 
+@shared(write=True)
 def citing(spark: SparkSession, d: str) -> DataFrame:
     """Citing works, the last delivery of each."""
     rows = table(spark, d, "citing").withColumn("work_id", entity_id("work_id", "W")).where("work_id IS NOT NULL")
@@ -129,11 +180,13 @@ def citing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@shared(write=True)
 def matched_register(spark: SparkSession, d: str) -> DataFrame:
     members = register.roster(table(spark, d, "norwegian_membership"))
     return register.match_by_issn(members, register.aliases_of_sources(newest_sources(spark, d)))
 
 
+@shared(write=True)
 def universes(spark: SparkSession, d: str) -> DataFrame:
     """(score_year, universe, issn_l): ``n`` are register members, ``oa`` keys of sources of type journal, in every score year."""
     n = matched_register(spark, d).where("issn_l IS NOT NULL").select("score_year", F.lit("n").alias("universe"), "issn_l")
@@ -145,6 +198,7 @@ def states(spark: SparkSession, d: str) -> DataFrame:
     return graph.universe_states(counts(spark, d), edges(spark, d), universes(spark, d))
 
 
+@shared(write=True)
 def decisions(spark: SparkSession, d: str) -> DataFrame:
     """(component, member, chosen) of approved decisions; the smallest choice where reviews differ."""
     reviewed = table(spark, d, "reviewed_representative").where(F.lower(blank_to_null("review_status")).startswith("approved"))
@@ -153,6 +207,7 @@ def decisions(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("member").agg(F.min("component").alias("component"), F.min("chosen").alias("chosen"))
 
 
+@shared(write=False)
 def identity_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(overrides, aliases, corrections) that the project's reviews and source lists give."""
     src = newest_sources(spark, d)

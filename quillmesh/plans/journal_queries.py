@@ -20,7 +20,24 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    """Registers a query; what it asks for several times is made once a call."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        with base.one_call():
+            return f(spark, d)
+
+    QUERIES[f.__name__] = run
+    return f
+
+
+def wide_query(f: Query) -> Query:
+    """Registers a query whose plan reads shared relations in many places: they are written once a call."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        with base.one_call(written=True):
+            return f(spark, d)
+
+    QUERIES[f.__name__] = run
     return f
 
 
@@ -322,7 +339,7 @@ def annual_scores_wide(spark, d):
     return wide.select("score_year", "issn_l", *[F.round(c, 7).alias(c) for c in wide.columns[2:]])
 
 
-@query
+@wide_query
 def annual_table(spark, d):
     parts = _graph(spark, d)
     jy = base.journal_years(spark, d).select("score_year", "journal_id", "title", "in_n", "in_oa", "works_raw", "works_filtered", "citations", "active_years")
@@ -331,7 +348,7 @@ def annual_table(spark, d):
     return out.withColumns({c: F.round(c, 7) for c in out.columns if c.startswith(("share_", "per_article_"))})
 
 
-@query
+@wide_query
 def closed_share(spark, d):
     s, e, c = parts = _graph(spark, d)
     nodes, inside = _cells(spark, d, parts)
@@ -343,9 +360,15 @@ def closed_share(spark, d):
 
 # --- ratios ---------------------------------------------------------------------------------------------------
 
+@base.shared(write=True)
+def _met(spark, d):
+    return ratio.met_citations(base.targets(spark, d).where("journal_id IS NOT NULL"), base.citing(spark, d))
+
+
 def _ratio_parts(spark, d, window, aliases=None):
     t, c = base.targets(spark, d).where("journal_id IS NOT NULL"), base.citing(spark, d)
-    return ratio.item_components(ratio.canonical_works(t, aliases), base.citation_years(spark, d), window), ratio.citation_components(t, c, window, aliases)
+    met = _met(spark, d) if aliases is None else ratio.met_citations(t, c, aliases)
+    return ratio.item_components(ratio.canonical_works(t, aliases), base.citation_years(spark, d), window), ratio.components_within(met, window)
 
 
 @query
@@ -396,13 +419,13 @@ def ratio_alias_edges(spark, d):
     return pairs.groupBy("target_id").agg(F.count("*").alias("n_citing"))
 
 
-@query
+@wide_query
 def ratio_companion(spark, d):
     score = lambda w: _policy_counts(spark, d, w).where("policy = 'AR'").select("citation_year", "journal_id", "c_raw", "d_raw", F.round(F.try_divide("c_raw", "d_raw"), 9).alias("score"))
     return ratio.with_companion(score(2), score(5), ["citation_year", "journal_id"], "score")
 
 
-@query
+@wide_query
 def reporting_population(spark, d):
     existing = base.journal_years(spark, d).select(F.col("score_year").alias("citation_year"), "journal_id").where(F.col("citation_year").isin(base.citation_years(spark, d)))
     eligible = _policy_counts(spark, d, 2).where("policy = 'AR' AND d_raw > 0").select("citation_year", "journal_id")
@@ -473,12 +496,12 @@ def _network_years(spark, d):
     return base.journal_years(spark, d).join(wide, ranks.YEAR_AND_ID, "left")
 
 
-@query
+@wide_query
 def journal_years(spark, d):
     return base.journal_years(spark, d).withColumn("coverage", F.round("coverage", 9))
 
 
-@query
+@wide_query
 def eligibility_reasons(spark, d):
     jy = _ratio_years(spark, d).withColumn("score", ranks.score_column(SELECTION)).withColumn("reason", F.coalesce(ranks.exclusion_reason(SELECTION), F.lit("eligible")))
     return jy.groupBy("score_year", "reason").agg(F.count("*").alias("n_journals"))
@@ -498,28 +521,28 @@ def _rank_columns(ranked):
     return ranked.select("score_year", "journal_id", "reason", F.round("field_pct", 9).alias("field_pct"), F.round("pool_pct", 9).alias("pool_pct"), "field_count")
 
 
-@query
+@wide_query
 def rank_two_stage(spark, d):
     return _rank_columns(_ranked(spark, d))
 
 
-@query
+@wide_query
 def rank_network(spark, d):
     return _rank_columns(ranks.two_stage(_network_years(spark, d), NETWORK))
 
 
-@query
+@wide_query
 def rank_three_year_mean(spark, d):
     out = ranks.three_year_mean(_ranked(spark, d))
     return out.withColumns({"field_mean": F.round("field_mean", 7), "pool_mean": F.round("pool_mean", 7)})
 
 
-@query
+@wide_query
 def rank_summary(spark, d):
     return ranks.rank_summary(_ranked(spark, d))
 
 
-@query
+@wide_query
 def view_page(spark, d):
     """The first page of the last score year."""
     year = max(base.score_years(spark, d), default=None)
@@ -527,7 +550,7 @@ def view_page(spark, d):
     return views.sorted_page(rows, SELECTION).select("journal_id", "title", F.round("score", 9).alias("score"), F.round("field_pct", 9).alias("field_pct"))
 
 
-@query
+@wide_query
 def view_search(spark, d):
     return views.visible(_ranked(spark, d), SEARCH).select("score_year", "journal_id", "title", F.round("field_pct", 9).alias("field_pct"))
 
@@ -536,41 +559,41 @@ def _shown(spark, d, percentile):
     return views.visible(_ranked(spark, d), replace(SELECTION, percentile=percentile)).groupBy("score_year").agg(F.count("*").alias("n_journals"), F.min("journal_id").alias("first_id"), F.max("journal_id").alias("last_id"))
 
 
-@query
+@wide_query
 def view_total(spark, d):
     """What is shown where the total percentile is asked for."""
     return _shown(spark, d, "total")
 
 
-@query
+@wide_query
 def view_both(spark, d):
     """Where both percentiles are asked for, the total one decides as well."""
     return _shown(spark, d, "both")
 
 
-@query
+@wide_query
 def view_unranked(spark, d):
     """Without a percentile every member with a ratio score is shown."""
     return _shown(spark, d, "none")
 
 
-@query
+@wide_query
 def hidden_matches(spark, d):
     return views.hidden_matches(_ranked(spark, d), SEARCH)
 
 
-@query
+@wide_query
 def export_lines(spark, d):
     rows = views.visible(_ranked(spark, d), SELECTION)
     return views.export_lines(rows, ["journal_id", "title", "publisher", "field"], {"coverage": 1})
 
 
-@query
+@wide_query
 def filter_options(spark, d):
     return views.filter_options(base.journal_years(spark, d))
 
 
-@query
+@wide_query
 def journal_history(spark, d):
     """History of the journal with most recorded citations."""
     ranked = _ranked(spark, d)
@@ -581,12 +604,12 @@ def journal_history(spark, d):
 # --- publication ----------------------------------------------------------------------------------------------
 
 
-@query
+@wide_query
 def history_shards(spark, d):
     return base.journal_years(spark, d).groupBy(publish.shard_of("journal_id").alias("shard")).agg(F.count("*").alias("n_rows"), F.count_distinct("journal_id").alias("n_journals"))
 
 
-@query
+@wide_query
 def rank_sidecar(spark, d):
     out = publish.rank_sidecar(_ranked(spark, d), "oa")
     return out.withColumns({c: F.round(c, 9) for c in ("score", "field_pct", "pool_pct")})
@@ -608,7 +631,7 @@ def frozen_or_live(spark, d):
     return out.groupBy("score_year", "run", "state").agg(F.count("*").alias("n_rows"), F.sum("a_raw").alias("a_raw"))
 
 
-@query
+@wide_query
 def validate_annual(spark, d):
     return publish.violations(base.journal_years(spark, d), publish.annual_rules(), ["score_year", "journal_id"])
 
@@ -627,7 +650,7 @@ def annual_differences(spark, d):
     return publish.differences(delivered, projected_counts(spark, d).withColumnRenamed("issn_l", "journal_id"), ["a_raw", "a_filtered"])
 
 
-@query
+@wide_query
 def handover_violations(spark, d):
     """Rules that a published annual table must keep, each with the number of rows that break it."""
     jy = base.journal_years(spark, d)
@@ -636,7 +659,7 @@ def handover_violations(spark, d):
     return publish.handover_violations(frame, solved, base.universes(spark, d).where("universe = 'n'").select("score_year", F.col("issn_l").alias("journal_id")))
 
 
-@query
+@wide_query
 def public_ratio(spark, d):
     """The published shape of the two-year ratio: every journal with items or citations, under its ISSN-L or, without one, its source."""
     out = ratio.annual_ratio(_policy_counts(spark, d, 2), "AR", 2).withColumnRenamed("citation_year", "score_year")
@@ -652,7 +675,7 @@ def public_ratio(spark, d):
     )
 
 
-@query
+@wide_query
 def decision_faults(spark, d):
     """Decision tables and identities that contradict themselves or each other, counted by rule."""
     overrides, excluded = _ledger(spark, d)
